@@ -9,12 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.bpe import encode_documents
 from quillspark.llm.common import table
+from quillspark.llm.media_avi import encode_avi, media_digests
 from quillspark.llm.sharding import shard_documents
+from quillspark.llm.simhash import near_duplicates
 
 #: The vocabulary that the queries use.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_avi_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_digests(encode_avi(table(spark, sf_dir, "documents")))
+
+
+def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), VOCABULARY, keep_ids=False)
 
@@ -23,8 +33,11 @@ def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+QUERIES = (op1_avi_media, op3_simhash_groups, op5_bpe_roundtrip, op7_rendezvous_shards)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_bpe_roundtrip, op7_rendezvous_shards)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
