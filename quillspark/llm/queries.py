@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillspark.llm.bpe import encode_documents
 from quillspark.llm.common import table
+from quillspark.llm.lang_cnn import fit_language_model, identify_languages
+from quillspark.llm.line_templates import dedup_lines
 from quillspark.llm.media_avi import encode_avi, media_digests
 from quillspark.llm.sharding import shard_documents
 from quillspark.llm.simhash import near_duplicates
@@ -25,6 +28,50 @@ def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return kept.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), F.length(text).alias("kept_chars"), F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
+OP4_SQL = """
+WITH split_up AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+numbered AS (SELECT doc_id, lines, unnest(range(len(lines))) AS pos FROM split_up),
+masked AS (
+  SELECT doc_id, pos, list_transform(
+    string_split(trim(regexp_replace(lines[pos + 1], '[ \\t\\x0B\\f\\r]+', ' ', 'g')), ' '),
+    lambda x: CASE WHEN regexp_matches(x, '[0-9@]|://') THEN '<*>' ELSE x END) AS tokens
+  FROM numbered),
+led AS (
+  SELECT doc_id, pos, tokens, len(tokens) AS n, tokens[1:3] AS lead, tokens[4:] AS rest, len(tokens) - 3 AS r, least(len(tokens) - 3, 12) AS parts
+  FROM masked WHERE len(tokens) >= 5),
+parsed AS (SELECT doc_id, pos, tokens, n, lead, list_transform(range(parts), lambda i: rest[(i * r) // parts + 1 : ((i + 1) * r) // parts]) AS fields FROM led),
+leaves AS (SELECT n, lead FROM parsed GROUP BY n, lead HAVING count(DISTINCT doc_id) >= 3),
+variants AS (
+  SELECT n, lead, tokens, any_value(fields) AS fields, count(DISTINCT doc_id) AS docs
+  FROM parsed JOIN leaves USING (n, lead) GROUP BY n, lead, tokens),
+cut AS (SELECT n, lead, tokens, docs, fields, unnest(range(len(fields))) AS k FROM variants),
+valued AS (SELECT n, lead, tokens, docs, k, fields[k + 1] AS field FROM cut),
+support AS (SELECT n, lead, k, field FROM valued GROUP BY n, lead, k, field HAVING sum(docs) >= 3),
+marked AS (
+  SELECT v.n, v.lead, v.tokens, v.k, s.field AS constant
+  FROM valued v LEFT JOIN support s ON v.n = s.n AND v.lead = s.lead AND v.k = s.k AND v.field = s.field),
+templates AS (
+  SELECT n, lead, tokens, list(constant ORDER BY k) AS template FROM marked
+  GROUP BY n, lead, tokens HAVING count(constant) >= 0.8 * count(*)),
+found AS (SELECT doc_id, pos, n, lead, template FROM parsed JOIN templates USING (n, lead, tokens)),
+recurring AS (SELECT n, lead, template, min(doc_id) AS first FROM found GROUP BY n, lead, template HAVING count(DISTINCT doc_id) >= 3),
+drops AS (SELECT doc_id, list(DISTINCT pos) AS gone FROM found JOIN recurring USING (n, lead, template) WHERE doc_id <> first GROUP BY doc_id),
+result AS (
+  SELECT d.doc_id, string_split(d.text, chr(10)) AS lines, coalesce(gone, []) AS gone, d.text
+  FROM documents d LEFT JOIN drops USING (doc_id)),
+kept AS (
+  SELECT doc_id, lines, gone, CASE WHEN len(gone) = 0 THEN coalesce(text, '') ELSE array_to_string(list_filter(lines, lambda x, i: NOT list_contains(gone, i - 1)), chr(10)) END AS kept
+  FROM result)
+SELECT doc_id, coalesce(len(lines), 0)::INTEGER AS n_lines, len(gone)::INTEGER AS n_dropped, length(kept)::INTEGER AS kept_chars, sha256(kept) AS kept_sha256 FROM kept
+"""
+
+
 def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), VOCABULARY, keep_ids=False)
 
@@ -33,7 +80,12 @@ def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
-QUERIES = (op1_avi_media, op3_simhash_groups, op5_bpe_roundtrip, op7_rendezvous_shards)
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify_languages(docs, fit_language_model(docs))
+
+
+QUERIES = (op1_avi_media, op3_simhash_groups, op4_line_templates, op5_bpe_roundtrip, op7_rendezvous_shards, op10_byte_cnn)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -41,4 +93,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_line_templates": OP4_SQL}
