@@ -13,8 +13,12 @@ from quillspark.llm.common import table
 from quillspark.llm.lang_cnn import fit_language_model, identify_languages
 from quillspark.llm.line_templates import dedup_lines
 from quillspark.llm.media_avi import encode_avi, media_digests
+from quillspark.llm.mixing import measured_weights, mixed_places
+from quillspark.llm.packing import packed_rows
 from quillspark.llm.sharding import shard_documents
 from quillspark.llm.simhash import near_duplicates
+from quillspark.llm.topk import top_k
+from quillspark.llm.url_rules import judge_urls
 
 #: The vocabulary that the queries use.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +28,12 @@ def op1_avi_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digests(encode_avi(table(spark, sf_dir, "documents")))
 
 
+def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    placed = mixed_places(docs, measured_weights(docs))
+    return placed.select("doc_id", "source", F.col("_slot").alias("slot"), F.col("_place").alias("place"))
+
+
 def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -76,16 +86,42 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), VOCABULARY, keep_ids=False)
 
 
+def op6_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_rows(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+def op8_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20, scale=64)
+
+
+#: Verdict, host and path of the listed URL rules.
+LISTED = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def op9_mined_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), LISTED)
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify_languages(docs, fit_language_model(docs))
 
 
-QUERIES = (op1_avi_media, op3_simhash_groups, op4_line_templates, op5_bpe_roundtrip, op7_rendezvous_shards, op10_byte_cnn)
+QUERIES = (
+    op1_avi_media, op2_pfair_mix, op3_simhash_groups, op4_line_templates, op5_bpe_roundtrip,
+    op6_packed_rows, op7_rendezvous_shards, op8_term_at_a_time, op9_mined_url_rules, op10_byte_cnn,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
