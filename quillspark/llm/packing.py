@@ -18,14 +18,17 @@ rows are packed repeatedly. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.bpe import coder_of
+from quillspark.llm.bpe import PRETOKEN
 from quillspark.llm.common import bounded_batches
 
 #: Documents of a group on average, and the most ids that are packed together.
@@ -113,16 +116,22 @@ def pack_matrix(docs: list[tuple[int | None, np.ndarray]], size: int, pad: int)
         yield row.tobytes(), ends[-1], ends, positions.tobytes(), [docs[spans[i][0]][0] for i in members], [spans[i][1] for i in members]
 
 
+@lru_cache(maxsize=2)
+def tokenizer_of(ranks: bytes) -> tiktoken.Encoding:
+    pairs = (line.split() for line in ranks.splitlines())
+    return tiktoken.Encoding("packing", pat_str=PRETOKEN, mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs}, special_tokens={})
+
+
 def tokenized(docs: DataFrame, vocabulary: str, end: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, key, ids (little-endian unsigned 32-bit, with the end mark) of every whole text."""
+    """doc_id, key, ids (little-endian unsigned 32-bit, with the end mark) of every whole text; strings of special tokens are ordinary text."""
     with open(vocabulary, "rb") as f:
-        file = docs.sparkSession.sparkContext.broadcast(f.read())
+        ranks = docs.sparkSession.sparkContext.broadcast(f.read())
     mark = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(file.value)
+        encode = tokenizer_of(ranks.value).encode_to_numpy
         for batch in batches:
-            ids = [coder.encode(x.as_py() or "") + mark for x in batch.column(2)]
+            ids = [encode(x.as_py() or "", disallowed_special=()).astype("<u4", copy=False).tobytes() + mark for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "key", "ids"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
@@ -130,7 +139,7 @@ def tokenized(docs: DataFrame, vocabulary: str, end: int, id_col: str, text_col:
 
 
 def packed_rows(docs: DataFrame, vocabulary: str, size: int = 2048, end: int = 50256, pad: int = 50256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The packed matrix (MATRIX_SCHEMA): one row for each row of ``size`` ids."""
+    """The packed matrix (MATRIX_SCHEMA): one row for each row of ``size`` ids. ``vocabulary``: a ``tiktoken`` rank file."""
     bounded_batches(docs.sparkSession)
     groups = max(1, -(-docs.count() // GROUP_ROWS))
     dealt = tokenized(docs, vocabulary, end, id_col, text_col).withColumn("grp", F.pmod("key", F.lit(groups)))

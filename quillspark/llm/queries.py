@@ -20,8 +20,9 @@ from quillspark.llm.simhash import near_duplicates
 from quillspark.llm.topk import top_k
 from quillspark.llm.url_rules import judge_urls
 
-#: The vocabulary that the queries use.
+#: The vocabulary that the queries use, as a tokenizers file and as ranks.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_avi_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +88,7 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed_rows(table(spark, sf_dir, "documents"), VOCABULARY)
+    return packed_rows(table(spark, sf_dir, "documents"), RANKS)
 
 
 def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
