@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quillspark.llm.bpe import encode_documents
 from quillspark.llm.common import table
 from quillspark.llm.lang_cnn import fit_language_model, identify_languages
@@ -126,7 +127,7 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    return {f.__name__: f for f in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
