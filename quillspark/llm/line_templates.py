@@ -19,6 +19,8 @@ positions. An empty table gives an empty result; other columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +37,18 @@ def masked_line(line: Column) -> Column:
     return F.regexp_replace(F.trim(F.regexp_replace(line, SPACE, " ")), VARIABLE, "<*>")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, though lambdas in it may refer to it often."""
+    return F.transform(F.array(value), use)[0]
+
+
 def field_hashes(rest: Column) -> Column:
     """Hashes of the fields into which the tokens after the leading ones are cut."""
     n = F.size(rest)
     fields = F.least(n, F.lit(FIELDS))
     bound = lambda k: F.floor(k * n / fields).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), fields - 1), lambda k: F.xxhash64(F.slice(rest, bound(k) + 1, bound(k + 1) - bound(k)))))
+    cut = F.transform(F.sequence(F.lit(0), fields - 1), lambda k: F.xxhash64(F.slice(rest, bound(k) + 1, bound(k + 1) - bound(k))))
+    return F.when(n > 0, cut).otherwise(F.array().cast("array<bigint>"))
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -49,15 +57,19 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 def parsed_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
     """One narrow row for each line of min_tokens tokens or more: doc_id, row, pos, leaf, line, fields."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "text"))
-    tokens = lines.select("doc_id", "row", "pos", F.split(masked_line(F.col("text")), " ", -1).alias("tokens")).filter(F.size("tokens") >= min_tokens)
-    rest = F.slice("tokens", F.lit(depth + 1), F.greatest(F.size("tokens") - depth, F.lit(0)))
-    return tokens.select(
-        "doc_id", "row", "pos",
-        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"),
-        F.xxhash64("tokens").alias("line"),
-        F.coalesce(field_hashes(rest), F.array().cast("array<bigint>")).alias("fields"),
-    )
+
+    def parsed(tokens: Column, pos: Column) -> Column:
+        n = F.size(tokens)
+        rest = F.slice(tokens, F.lit(depth + 1), F.greatest(n - depth, F.lit(0)))
+        made = F.struct(
+            pos.alias("pos"), F.xxhash64(n, F.slice(tokens, 1, depth)).alias("leaf"), F.xxhash64(tokens).alias("line"), let(rest, field_hashes).alias("fields")
+        )
+        return F.when(n >= min_tokens, made)
+
+    # one expression for a whole text: as separate columns, the tokens would be computed again for every use
+    lines = F.transform(F.split(F.col(text_col), "\n", -1), lambda line, i: let(F.split(masked_line(line), " ", -1), lambda tokens: parsed(tokens, i)))
+    made = F.explode_outer(F.filter(lines, lambda x: x.isNotNull())).alias("x")
+    return docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row"), made).filter("x IS NOT NULL").select("doc_id", "row", "x.*")
 
 
 def recurring_positions(
