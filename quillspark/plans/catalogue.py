@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import BLACKLIST, ORGANISMS, STRIP_PREFIXES, WHITELIST
+from quillspark.functions.durable import durable
 from quillspark.functions.text import find_all, let
 from quillspark.operators import feedback, geneids, mentions, normalize, pairs, records, review, sentences, species
 from quillspark.plans.corpus import corpus, files, verdicts
@@ -50,7 +51,7 @@ def mined(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pairs.mine_pairs(mentioned(spark, sf_dir)).select(
         "k", "m_ord", "g_ord", "mirna", "gene", "gene_confidence", "relation_confidence", "confidence", "relation_type", "sentence", "species", "pmid", "doi", "title"
     )
-    return review.number_rows(found, "k", "m_ord", "g_ord").drop("m_ord", "g_ord")
+    return review.number_rows(durable(found), "k", "m_ord", "g_ord").drop("m_ord", "g_ord")  # sorting by ranges reads its input more than once
 
 
 def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,7 +160,7 @@ CTES["reviewed"] = f"""SELECT *, CASE WHEN has AND review_result = 'Excluded (no
 CTES["kept"] = "SELECT * FROM reviewed WHERE review_result LIKE 'Confirmed%'"
 CTES["legacy"] = f"SELECT unnest([{quoted(d.LEGACY_PREFIXES)}]) AS p, unnest([{quoted(d.LEGACY_PREFIXES.values())}]) AS std"
 BARE = "regexp_replace(mirna, '^(?i:pre-|pri-)', '')"
-CTES["normed"] = rf"""SELECT q.*, gene AS gene_norm, CASE WHEN regexp_matches(bare, '^[a-z]{{3,5}}-[Mm][Ii][Rr]\d+[a-z]*(?:[.-]\d[ap]?)?$') THEN bare
+CTES["normed"] = rf"""SELECT q.*, q.gene AS gene_norm, CASE WHEN regexp_matches(bare, '^[a-z]{{3,5}}-[Mm][Ii][Rr]\d+[a-z]*(?:[.-]\d[ap]?)?$') THEN bare
     WHEN regexp_matches(bare, '^[A-Z][a-z]?[Mm][Ii][Rr]\d+[a-z]*(?:[.-]\d[ap]?)?$') THEN coalesce(std || '-' || regexp_replace(bare, '^[A-Z][a-z]?([Mm][Ii][Rr])', '\1'), bare)
     WHEN regexp_matches(bare, '^[Mm][Ii][Rr]\d+[a-z]*(?:[.-]\d[ap]?)?$') AND s.mir IS NOT NULL THEN s.mir || '-miR' || bare[4:] ELSE bare END AS mirna_norm
     FROM (SELECT *, {BARE} AS bare FROM @) q LEFT JOIN species s ON s.common = q.species LEFT JOIN legacy ON p = regexp_extract(bare, '^([A-Z][a-z]?)[Mm][Ii][Rr]', 1)"""
@@ -170,7 +170,7 @@ DISTINCT = "list_transform(list_sort(list(f_{0}) FILTER (WHERE f_{0} IS NOT NULL
 CTES["firstof"] = "SELECT *, " + ", ".join(
     f"CASE WHEN coalesce({c}, '') <> '' AND row_number() OVER (PARTITION BY species, mirna_norm, gene_norm, {c} ORDER BY idx) = 1 THEN [lpad(idx::VARCHAR, 20, '0'), {c}] END AS f_{c}" for c in ("sentence", "title", "pmid", "doi")
 ) + " FROM normalized"
-CTES["modes"] = """SELECT species, mirna_norm, gene_norm, relation_type FROM normalized GROUP BY ALL
+CTES["modes"] = """SELECT species, mirna_norm, gene_norm, relation_type FROM normalized GROUP BY species, mirna_norm, gene_norm, relation_type
     QUALIFY row_number() OVER (PARTITION BY species, mirna_norm, gene_norm ORDER BY count(*) DESC, relation_type) = 1"""
 CTES["grouped"] = f"""SELECT species, mirna_norm, gene_norm, list_sort(list(DISTINCT mirna) FILTER (WHERE mirna <> mirna_norm)) AS ms, {", ".join(f"{DISTINCT.format(c)} AS l_{c}" for c in ("sentence", "title", "pmid", "doi"))}
     FROM firstof GROUP BY species, mirna_norm, gene_norm"""
