@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import BLACKLIST, ORGANISMS, STRIP_PREFIXES, WHITELIST
@@ -17,7 +17,11 @@ from quillspark.plans.oracle import CTES, JOURNAL, RELATION, oracle, quoted, sco
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-BLOCK = F.col("block")
+
+
+def block() -> Column:
+    return F.col("block")
+
 
 
 def query(sql: str) -> Callable[[Query], Query]:
@@ -105,22 +109,22 @@ def records_len_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT k, pmid FROM meta")
 def meta_pmid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("k", records.pmid_of(BLOCK).alias("pmid"))
+    return corpus(spark, sf_dir).select("k", records.pmid_of(block()).alias("pmid"))
 
 
 @query("SELECT k, doi FROM meta")
 def meta_doi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("k", records.doi_of(BLOCK).alias("doi"))
+    return corpus(spark, sf_dir).select("k", records.doi_of(block()).alias("doi"))
 
 
 @query("SELECT k, title FROM meta")
 def meta_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("k", records.title_of(BLOCK).alias("title"))
+    return corpus(spark, sf_dir).select("k", records.title_of(block()).alias("title"))
 
 
 @query("SELECT k, body FROM meta")
 def abstract_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("k", records.body_of(BLOCK).alias("body"))
+    return corpus(spark, sf_dir).select("k", records.body_of(block()).alias("body"))
 
 
 @query(f"SELECT k, i - 1 AS line_no, {JOURNAL} AS continues FROM lines WHERE line <> ''")
@@ -135,25 +139,25 @@ def journal_continuation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT k, sid, st AS s_start, en AS s_end FROM sentences")
 def sentences_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = corpus(spark, sf_dir).select("k", F.posexplode(sentences.split_sentences(BLOCK)).alias("sid", "s"))
+    found = corpus(spark, sf_dir).select("k", F.posexplode(sentences.split_sentences(block())).alias("sid", "s"))
     return found.select("k", F.col("sid").cast("long").alias("sid"), F.col("s.start").alias("s_start"), F.col("s.end").alias("s_end"))
 
 
 @query("SELECT k, s AS pos, sid FROM ms")
 def sentence_of_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = corpus(spark, sf_dir).select("k", mentions.extract_mirnas(BLOCK).alias("ms"), sentences.split_sentences(BLOCK).alias("sentences"))
+    found = corpus(spark, sf_dir).select("k", mentions.extract_mirnas(block()).alias("ms"), sentences.split_sentences(block()).alias("sentences"))
     return found.select("k", F.explode(let(F.col("sentences"), lambda all_: F.transform("ms", lambda m: F.struct(m["start"].alias("pos"), sentences.sentence_at(all_, m["start"]).alias("sid"))))).alias("x")).select("k", "x.pos", "x.sid")
 
 
 @query("SELECT k, string_agg(sentence, ' ' ORDER BY sid) FILTER (WHERE sentence <> '') AS span FROM said WHERE sid BETWEEN 1 AND 3 GROUP BY k")
 def sentence_span(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = corpus(spark, sf_dir).select("k", "block", sentences.split_sentences(BLOCK).alias("sentences"))
-    return found.select("k", sentences.sentence_span(BLOCK, F.col("sentences"), F.lit(3), F.lit(1)).alias("span"))
+    found = corpus(spark, sf_dir).select("k", "block", sentences.split_sentences(block()).alias("sentences"))
+    return found.select("k", sentences.sentence_span(block(), F.col("sentences"), F.lit(3), F.lit(1)).alias("span"))
 
 
 @query(f"SELECT k, sid, {score('lower(sentence)')} > 0 AS has_relation FROM said")
 def relation_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = corpus(spark, sf_dir).select("k", "block", F.posexplode(sentences.split_sentences(BLOCK)).alias("sid", "s"))
+    found = corpus(spark, sf_dir).select("k", "block", F.posexplode(sentences.split_sentences(block())).alias("sid", "s"))
     text = F.substring("block", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))
     return found.select("k", F.col("sid").cast("long").alias("sid"), (pairs.relation_score(text) > 0).alias("has_relation"))
 
@@ -163,14 +167,14 @@ def relation_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mirna_query(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return exploded(corpus(spark, sf_dir).select("k", mentions.mirnas_of(BLOCK, kind).alias("m")), "m", "name", "start")
+        return exploded(corpus(spark, sf_dir).select("k", mentions.mirnas_of(block(), kind).alias("m")), "m", "name", "start")
 
     return run
 
 
 def gene_query(tier: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return exploded(corpus(spark, sf_dir).select("k", mentions.genes_of(BLOCK, tier).alias("g")), "g", "name", "confidence", "start", "end")
+        return exploded(corpus(spark, sf_dir).select("k", mentions.genes_of(block(), tier).alias("g")), "g", "name", "confidence", "start", "end")
 
     return run
 
@@ -186,16 +190,16 @@ for _n, _tier in enumerate(mentions.GENE, 1):
 
 @query('SELECT k, name, s AS start, e AS "end" FROM mirnas')
 def mirna_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exploded(corpus(spark, sf_dir).select("k", mentions.extract_mirnas(BLOCK).alias("m")), "m", "name", "start", "end")
+    return exploded(corpus(spark, sf_dir).select("k", mentions.extract_mirnas(block()).alias("m")), "m", "name", "start", "end")
 
 
 @query('SELECT k, name, confidence, s AS start, e AS "end" FROM genes')
 def gene_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exploded(corpus(spark, sf_dir).select("k", mentions.extract_genes(BLOCK).alias("g")), "g", "name", "confidence", "start", "end")
+    return exploded(corpus(spark, sf_dir).select("k", mentions.extract_genes(block()).alias("g")), "g", "name", "confidence", "start", "end")
 
 
 def judged(spark: SparkSession, sf_dir: str, pattern: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("k", "block", F.explode(find_all(BLOCK, pattern)).alias("x")).select("k", "block", "x.*")
+    return corpus(spark, sf_dir).select("k", "block", F.explode(find_all(block(), pattern)).alias("x")).select("k", "block", "x.*")
 
 
 CONTEXT_SQL = CTES["gu"]
@@ -205,14 +209,14 @@ CONTEXT_SQL = CTES["gu"]
     near=CONTEXT_SQL.split("THEN 'High confidence' WHEN ")[1].split(" THEN 'Unverified'")[0], hyphen="(s > 0 AND substr(block, s, 1) = '-')"))
 def gene_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(spark, sf_dir, mentions.GENE["3"])
-    return found.select("k", "name", "start", mentions.gene_context(BLOCK, F.col("start"), F.col("end")).alias("in_context"), mentions.crosses_hyphen(BLOCK, F.col("start")).alias("behind_hyphen"))
+    return found.select("k", "name", "start", mentions.gene_context(block(), F.col("start"), F.col("end")).alias("in_context"), mentions.crosses_hyphen(block(), F.col("start")).alias("behind_hyphen"))
 
 
 @query("SELECT k, name, s AS start, {strong} AS strong FROM g4 x JOIN corpus USING (k)".format(
     strong=CONTEXT_SQL.split("THEN 'High confidence' WHEN ")[2].split(" THEN 'Unverified'")[0]))
 def gene_strong_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(spark, sf_dir, mentions.GENE["4"])
-    return found.select("k", "name", "start", mentions.strong_gene_context(BLOCK, F.col("end")).alias("strong"))
+    return found.select("k", "name", "start", mentions.strong_gene_context(block(), F.col("end")).alias("strong"))
 
 
 # --- species
@@ -220,14 +224,14 @@ def gene_strong_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT k, common AS species FROM by_title")
 def species_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titled = corpus(spark, sf_dir).select("k", records.title_of(BLOCK).alias("title"))
+    titled = corpus(spark, sf_dir).select("k", records.title_of(block()).alias("title"))
     return titled.select("k", species.title_species(F.col("title")).alias("species")).filter("species IS NOT NULL")
 
 
 @query("SELECT k, common AS species, w AS weight FROM sums")
 def species_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = corpus(spark, sf_dir).select("k", "block", mentions.extract_mirnas(BLOCK).alias("m"), mentions.extract_genes(BLOCK).alias("g"))
-    votes = found.select("k", F.explode(species.votes_of(F.col("m"), F.col("g"), BLOCK)).alias("v"))
+    found = corpus(spark, sf_dir).select("k", "block", mentions.extract_mirnas(block()).alias("m"), mentions.extract_genes(block()).alias("g"))
+    votes = found.select("k", F.explode(species.votes_of(F.col("m"), F.col("g"), block())).alias("v"))
     return votes.groupBy("k", F.col("v.species").alias("species")).agg(F.sum("v.weight").cast("int").alias("weight"))
 
 
@@ -257,7 +261,7 @@ def pair_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT k, m AS mirna, g AS gene, sentence FROM told")
 def pair_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = pairs.evidence_sentence(BLOCK, F.col("sentences"), F.col("best"), F.col("m"), F.col("g"))
+    said = pairs.evidence_sentence(block(), F.col("sentences"), F.col("best"), F.col("m"), F.col("g"))
     return near(spark, sf_dir).select("k", F.col("m").alias("mirna"), F.col("g").alias("gene"), said.alias("sentence"))
 
 
@@ -265,13 +269,13 @@ def pair_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pair_crowded_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near(spark, sf_dir).select(
         "k", F.col("m").alias("mirna"), F.col("g").alias("gene"), pairs.is_crowded(F.col("best"), F.col("all_m"), F.col("all_g")).alias("crowded"),
-        pairs.is_explicit(BLOCK, F.col("best"), F.col("m"), F.col("g")).alias("explicit"),
+        pairs.is_explicit(block(), F.col("best"), F.col("m"), F.col("g")).alias("explicit"),
     )
 
 
 @query(f"SELECT k, sid, {RELATION.format('sentence')} AS relation FROM said")
 def relation_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = corpus(spark, sf_dir).select("k", "block", F.posexplode(sentences.split_sentences(BLOCK)).alias("sid", "s"))
+    found = corpus(spark, sf_dir).select("k", "block", F.posexplode(sentences.split_sentences(block())).alias("sid", "s"))
     text = F.substring("block", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))
     return found.select("k", F.col("sid").cast("long").alias("sid"), pairs.classify_relation(text).alias("relation"))
 
