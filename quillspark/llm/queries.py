@@ -19,7 +19,7 @@ from quillspark.llm.packing import packed_rows
 from quillspark.llm.sharding import shard_documents
 from quillspark.llm.simhash import near_duplicates
 from quillspark.llm.topk import top_k
-from quillspark.llm.url_rules import judge_urls
+from quillspark.llm.url_rules import CONFIDENCE, COUNT, LOWER, SUPPORT, UPPER, judge_urls
 
 #: The vocabulary that the queries use, as a tokenizers file and as ranks.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,6 +101,18 @@ def op8_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20, scale=64)
 
 
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.w, c.w, true), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
 #: Verdict, host and path of the listed URL rules.
 LISTED = (
     ("allow", "org", "/"),
@@ -115,6 +127,38 @@ def op9_mined_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), LISTED)
 
 
+OP9_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
+OP9_SQL = f"""
+WITH cut AS (
+  SELECT page_id, url, translate(coalesce(regexp_extract(url, '{OP9_PARTS}', 1), ''), '{UPPER}', '{LOWER}') AS host, coalesce(regexp_extract(url, '{OP9_PARTS}', 2), '') AS path,
+    coalesce(regexp_extract(url, '{OP9_PARTS}', 3), '') AS args, coalesce(regexp_extract(url, '{OP9_PARTS}', 4), '') AS frag
+  FROM pages),
+held AS (
+  SELECT page_id, url, host, path, list_sort(list_distinct(
+    list_transform(list_reverse(list_filter(string_split(host, '.'), lambda x: x <> ''))[1:4], lambda x: 'h:' || x)
+    || list_transform(list_filter(regexp_split_to_array(path, '[/.]'), lambda x: x <> '')[1:4], lambda x: 'p:' || x)
+    || list_transform(list_filter(string_split(args, '&'), lambda x: x <> '')[1:4], lambda x: 'q:' || x)
+    || list_transform(list_filter([frag], lambda x: x <> ''), lambda x: 'f:' || x))) AS items
+  FROM cut),
+marks AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+baskets AS (SELECT items, bad FROM held JOIN marks USING (page_id)),
+least AS (SELECT ceil(greatest({SUPPORT} * count(*), {COUNT} - 0.5)) AS n FROM baskets),
+masks AS (SELECT items, bad, unnest(range(1, (1 << len(items))::BIGINT)) AS mask FROM baskets),
+subsets AS (SELECT list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS items, bad FROM masks),
+rules AS (
+  SELECT items, sum(bad) / count(*) AS confidence FROM subsets GROUP BY items
+  HAVING sum(bad) >= (SELECT n FROM least) AND sum(bad) / count(*) >= {CONFIDENCE}),
+kept AS (SELECT * FROM rules r WHERE NOT EXISTS (SELECT 1 FROM rules o WHERE len(o.items) < len(r.items) AND list_has_all(r.items, o.items))),
+met AS (SELECT u.url, max(confidence) AS confidence FROM (SELECT DISTINCT url, items FROM held) u JOIN kept k ON list_has_all(u.items, k.items) GROUP BY u.url),
+listed(verdict, h, p) AS (VALUES {", ".join(map(str, LISTED))}),
+fits AS (
+  SELECT url, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM (SELECT DISTINCT url, host, path FROM held) JOIN listed ON (host = h OR suffix(host, '.' || h)) AND prefix(path, p) GROUP BY url)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN confidence IS NULL THEN 'allow' ELSE 'block' END) AS verdict, confidence
+FROM held LEFT JOIN met USING (url) LEFT JOIN fits USING (url)
+"""
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify_languages(docs, fit_language_model(docs))
@@ -131,4 +175,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_templates": OP4_SQL}
+    return {"op4_line_templates": OP4_SQL, "op8_term_at_a_time": OP8_SQL, "op9_mined_url_rules": OP9_SQL}
