@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Upper bounds of one Arrow batch handed to a Python worker.
 BATCH_ROWS = 256
 BATCH_BYTES = 8 << 20
@@ -17,21 +20,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
-
-    The folder comes from ``spark.checkpoint.dir``; only where the session has none
-    (single-machine tests) a temporary one is set.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only where the session has none (single-machine tests) a temporary one is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillspark-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the cluster's shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder: smaller than a checkpoint, and read by column.
+
+    The table is deleted when the driver's file system is closed.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: texts of 100 kB and more must not meet by the thousand."""
+    """Keep Arrow batches small: texts of 100 kB and more must not meet by the thousand. Let workers find this package where the driver did."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, path]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable
+from quillspark.llm.common import durable, written
 
 FIELDS = 12
 SPACE = "[ \\t\\x0B\\f\\r]+"
@@ -76,7 +76,7 @@ def recurring_positions(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3, min_tokens: int = 5, depth: int = 3, similarity: float = 0.8
 ) -> DataFrame:
     """row, doc_id, drop: for each document with dropped lines their positions from 0."""
-    lines = durable(parsed_lines(docs, id_col, text_col, depth, min_tokens))
+    lines = written(parsed_lines(docs, id_col, text_col, depth, min_tokens))
     # leaves seen in enough documents; all others are out before fields are looked at
     leaves = lines.select("leaf", "row").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs).select("leaf")
     variants = (
