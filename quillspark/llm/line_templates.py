@@ -116,23 +116,32 @@ def recurring_positions(
     )
 
 
+def _deduplicated(docs: DataFrame, id_col: str, text_col: str, **options: float) -> tuple[DataFrame, dict[str, str], Column]:
+    """Rows under names of their own (no name can clash inside), those names by column, and the text that is left."""
+    drops = recurring_positions(docs, id_col, text_col, **options).select(F.col("row").alias("d_row"), F.col("doc_id").alias("d_id"), F.col("drop").alias("d_drop"))
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(c).alias(a) for c, a in own.items()], row_key(id_col, text_col).alias("d_key"))
+    joined = inner.join(drops, (F.col("d_key") == F.col("d_row")) & F.col(own[id_col]).eqNullSafe(F.col("d_id")), "left")
+    kept = F.array_join(F.filter(F.split(F.col(own[text_col]), "\n", -1), lambda x, i: ~F.array_contains("d_drop", i)), "\n")
+    return joined, own, F.when(F.col("d_drop").isNull(), F.col(own[text_col])).otherwise(kept)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: float) -> DataFrame:
     """The rows of ``docs`` with recurring lines taken out of their texts, and two more columns.
 
-    ``_lines``: lines before (0 for a null text); ``_dropped``: lines taken out.
+    ``_lines``: lines before (0 for a null text); ``_dropped``: lines taken out. Columns of ``docs`` with these names give way.
     """
-    clash = {"_lines", "_dropped"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are taken")
-    drops = recurring_positions(docs, id_col, text_col, **options).select(F.col("row").alias("d_row"), F.col("doc_id").alias("d_id"), F.col("drop").alias("d_drop"))
-    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no name can clash inside
-    inner = docs.select(*[F.col(c).alias(a) for c, a in own.items()], row_key(id_col, text_col).alias("d_key"))
-    joined = inner.join(drops, (F.col("d_key") == F.col("d_row")) & F.col(own[id_col]).eqNullSafe(F.col("d_id")), "left")
-    lines = F.split(F.col(own[text_col]), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("d_drop", i)), "\n")
-    text = F.when(F.col("d_drop").isNull(), F.col(own[text_col])).otherwise(kept)
+    joined, own, text = _deduplicated(docs, id_col, text_col, **options)
     return joined.select(
-        *[(text if c == text_col else F.col(a)).alias(c) for c, a in own.items()],
-        F.when(F.col(own[text_col]).isNull(), 0).otherwise(F.size(lines)).alias("_lines"),
+        *[(text if c == text_col else F.col(a)).alias(c) for c, a in own.items() if c not in ("_lines", "_dropped")],
+        F.when(F.col(own[text_col]).isNull(), 0).otherwise(F.size(F.split(F.col(own[text_col]), "\n", -1))).alias("_lines"),
         F.when(F.col("d_drop").isNull(), 0).otherwise(F.size("d_drop")).alias("_dropped"),
     )
+
+
+def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", **options: float) -> DataFrame:
+    """``docs`` without recurring lines and without the documents of which nothing else is left; a column ``size_col`` follows the text."""
+    joined, own, text = _deduplicated(docs, id_col, text_col, **options)
+    left = joined.withColumn("left", text).filter(F.col("d_drop").isNull() | (F.trim("left") != ""))
+    size = lambda c: F.when(F.col("d_drop").isNull(), F.col(own[c])).otherwise(F.length("left").cast(docs.schema[c].dataType))
+    return left.select(*[(F.col("left") if c == text_col else size(c) if c == size_col else F.col(a)).alias(c) for c, a in own.items()])

@@ -19,17 +19,17 @@ import corpus_pipeline
 from quillspark.llm import bpe, lang_cnn, line_templates, media_avi, mixing, packing, queries, sharding, simhash, topk, url_rules
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, leaf string, slot int, found int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, leaf string, slot int, found int, _slot int, _dropped int"
 VOCABULARY, RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
 LONG = "the weight of a very long text " * 4000
 
 
 def rows(*texts, start=0):
     """Documents with columns whose names the operators use themselves."""
-    return [(start + i, t, "en", "s", len(t or ""), "x", 7, 8) for i, t in enumerate(texts)]
+    return [(start + i, t, "en", "s", len(t or ""), "x", 7, 8, 9, 10) for i, t in enumerate(texts)]
 
 
-HARD = rows(None, "", " \n\t ", "One line here.", "One line here.", "ÄÖÜ 漢字 🌾 <|endoftext|> x", "!!! 123", LONG, "a\n\n\nb c d e f\r\n") + [(None, "no id", None, None, None, None, None, None)] * 2 + rows("One line here.", start=3)
+HARD = rows(None, "", " \n\t ", "One line here.", "One line here.", "ÄÖÜ 漢字 🌾 <|endoftext|> x", "!!! 123", LONG, "a\n\n\nb c d e f\r\n") + [(None, "no id", *[None] * 8)] * 2 + rows("One line here.", start=3)
 
 
 @pytest.fixture(scope="module")
@@ -198,8 +198,10 @@ def test_line_templates(spark, hard, empty):
     assert notice.format(0) in out[1].text and out[1]._dropped == 0
     assert all(out[i].text.count("Page") == 0 and "end." in out[i].text and "Own words" in out[i].text and (out[i]._dropped, out[i]._lines) == (1, 3) for i in range(2, 6))
     assert out[6].text == "Short line\nShort line" and out[3].leaf == "x"
-    kept = line_templates.dedup_lines(hard).select(*hard.columns)
-    assert sorted(map(str, kept.collect())) == sorted(map(str, hard.collect()))
+    left = {r.doc_id: r for r in line_templates.without_recurring_lines(frame.union(spark.createDataFrame(rows(notice.format(9), start=9), SCHEMA))).collect()}
+    assert set(left) == set(range(1, 7)) and left[2].n_chars == len(left[2].text) and left[2]._dropped == 10
+    kept = line_templates.without_recurring_lines(hard)
+    assert kept.columns == hard.columns and sorted(map(str, kept.collect())) == sorted(map(str, hard.collect()))
     assert line_templates.dedup_lines(empty).count() == 0
 
 
