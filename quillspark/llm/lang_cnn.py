@@ -19,7 +19,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import bounded_batches
@@ -163,21 +163,24 @@ def remainder(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(3))
 
 
-def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> ByteCNN:
-    """Train on windows of at most ``sample`` labelled documents outside the held-out fold.
+def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int) -> list[Row]:
+    """lang and windows of the at most ``sample`` different eligible documents with the least hashes of id and text.
 
-    The sample is the documents with the least hashes of id and text; windows start anywhere in the text.
+    A bound on the hash, from the number of labelled documents, leaves about twice the sample to sort: else
+    every task would send its own least ``sample`` rows to the driver.
     """
-    text, key = F.col(text_col), F.xxhash64(id_col, text_col)
+    text, rank = F.col(text_col), F.shiftrightunsigned(F.xxhash64(id_col, text_col), 1)
+    labelled = docs.filter(F.col(lang_col).isNotNull() & (remainder(id_col) != 1))
+    share = min(1.0, (2 * sample + 100) / max(1, labelled.count()))
     room = F.greatest(F.length(text) - WINDOW, F.lit(0)) + 1
-    windows = [F.substring(text, F.pmod(F.xxhash64(key, F.lit(k)), room).cast("int") + 1, F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)]
-    rows = (
-        docs.filter(F.col(lang_col).isNotNull() & text.isNotNull() & (remainder(id_col) != 1))
-        .select(key.alias("key"), F.col(lang_col).alias("lang"), F.array_distinct(F.array(*windows)).alias("windows"))
-        .orderBy("key", "lang")
-        .limit(sample)
-        .collect()
-    )
+    windows = [F.substring(text, F.pmod(F.xxhash64("rank", F.lit(k)), room).cast("int") + 1, F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)]
+    few = labelled.filter(text.isNotNull()).withColumn("rank", rank).filter(F.col("rank") <= int(share * ((1 << 63) - 1024)))
+    return few.select("rank", F.col(lang_col).alias("lang"), F.array_distinct(F.array(*windows)).alias("windows")).dropDuplicates(["rank", "lang"]).orderBy("rank", "lang").limit(sample).collect()
+
+
+def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> ByteCNN:
+    """Train on windows of at most ``sample`` labelled documents outside the held-out fold; windows start anywhere in the text."""
+    rows = training_rows(docs.select(id_col, text_col, lang_col), id_col, text_col, lang_col, sample)
     pairs = [(w.encode()[:WINDOW].ljust(WINDOW, b"\0"), r.lang) for r in rows for w in r.windows if LETTER.search(w)]
     model = ByteCNN(sorted({lang for _, lang in pairs}))
     if pairs:
