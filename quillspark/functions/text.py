@@ -52,14 +52,28 @@ def find_all(text: Column, pattern: str) -> Column:
     return F.aggregate(parts, start, step, lambda acc: acc["out"])
 
 
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literals(values: Iterable[str]) -> Column:
+    """An array literal, parsed at once: hundreds of single literals take seconds to hand over."""
+    return F.expr(f"CAST(array({', '.join(map(sql_string, values))}) AS array<string>)")
+
+
+def one_of(name: Column, names: Iterable[str]) -> Column:
+    """Whether a name is on a list of literals."""
+    return F.array_contains(literals(names), name)
+
+
 def count_words(text: Column, words: Iterable[str]) -> Column:
     """How many of the words occur in a text, each counted once."""
-    return let(text, lambda t: F.size(F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(t, w))))
+    return let(text, lambda t: F.size(F.filter(literals(words), lambda w: F.contains(t, w))))
 
 
-def lookup(pairs: Iterable[tuple[str, object]]) -> Column:
+def lookup(pairs: Iterable[tuple[str, str]]) -> Column:
     """A map literal; take values with try_element_at."""
-    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    return F.expr(f"map({', '.join(sql_string(x) for pair in pairs for x in pair)})")
 
 
 def ordered_distinct(order: Column, value: Column) -> Column:

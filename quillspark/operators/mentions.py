@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import CONTEXT_SIGNALS, LEGACY_PREFIXES, STRONG_STEMS, STRONG_TAIL, Dictionaries
-from quillspark.functions.text import BEFORE, BEHIND, alternation, between, find_all
+from quillspark.functions.text import BEFORE, BEHIND, alternation, between, find_all, one_of
 
 ARM = r"(?:[-.]\d[ap]?)?"
 PREFIX = f"(?:{alternation(LEGACY_PREFIXES)})"
@@ -28,10 +28,6 @@ CONFIRMED, HIGH, UNVERIFIED = "Confirmed", "High confidence", "Unverified"
 GENE_MENTION = "array<struct<name:string,confidence:string,start:int,end:int>>"
 
 
-def one_of(name: Column, names: tuple[str, ...]) -> Column:
-    return name.isin(*names) if names else F.lit(False)
-
-
 def mirnas_of(text: Column, kind: str) -> Column:
     """Mentions of one form; those that begin with "mir" behind a letter or hyphen are parts of longer names and dropped."""
 

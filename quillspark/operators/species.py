@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import SPECIES, SPECIES_KEYWORDS
-from quillspark.functions.text import let, lookup
+from quillspark.functions.text import let, lookup, sql_string
 
 COMMON = {mir: name for mir, _, name in SPECIES}
 BY_GENE = {gene.lower(): name for _, gene, name in SPECIES}
@@ -14,7 +14,8 @@ VOTES = "array<struct<species:string,weight:int>>"
 
 
 def keyword_table() -> Column:
-    return F.array(*[F.struct(F.lit(word).alias("word"), F.lit(COMMON[mir]).alias("species")) for word, mir in SPECIES_KEYWORDS])
+    rows = (f"named_struct('word', {sql_string(word)}, 'species', {sql_string(COMMON[mir])})" for word, mir in SPECIES_KEYWORDS)
+    return F.expr(f"array({', '.join(rows)})")
 
 
 def title_species(title: Column) -> Column:

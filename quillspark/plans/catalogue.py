@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import BLACKLIST, ORGANISMS, STRIP_PREFIXES, WHITELIST
 from quillspark.functions.durable import durable
-from quillspark.functions.text import find_all, let
+from quillspark.functions.text import find_all, let, literals
 from quillspark.operators import feedback, geneids, mentions, normalize, pairs, records, review, sentences, species
 from quillspark.plans.corpus import corpus, files, verdicts
 from quillspark.plans.oracle import CTES, JOURNAL, RELATION, oracle, quoted, score
@@ -81,11 +81,12 @@ def gene_ids(keys: DataFrame) -> DataFrame:
 
 
 def names_table(spark: SparkSession, names: list[str]) -> DataFrame:
-    return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("name"))
+    return spark.range(1).select(F.explode(literals(names)).alias("name"))
 
 
 def exploded(df: DataFrame, mention_array: str, *fields: str) -> DataFrame:
-    return df.select("k", F.explode(mention_array).alias("x")).select("k", *[F.col(f"x.{f}") for f in fields])
+    # an inner explode would filter by size first and compute the array again for that
+    return df.select("k", F.explode_outer(mention_array).alias("x")).filter("x IS NOT NULL").select("k", *[F.col(f"x.{f}") for f in fields])
 
 
 # --- records and metadata
