@@ -34,6 +34,8 @@ from quillspark.llm.common import bounded_batches
 #: Documents of a group on average, and the most ids that are packed together.
 GROUP_ROWS = 1024
 WINDOW_TOKENS = 4 << 20
+#: Partitions follow the number of groups up to here; beyond, a partition holds several groups, one after the other.
+MOST_PARTITIONS = 50_000
 MATRIX_SCHEMA = "grp long, window int, row int, ids binary, n_tokens int, cu_seqlens array<int>, positions binary, doc_ids array<long>, pieces array<int>"
 
 
@@ -168,7 +170,7 @@ def packed_rows(docs: DataFrame, vocabulary: str, size: int = 2048, end: int = 5
         if rows:
             yield matrix_batch(rows)
 
-    sorted_in = dealt.select("grp", "doc_id", "ids", "key").repartition("grp").sortWithinPartitions("grp", "key", "doc_id", "ids")
+    sorted_in = dealt.select("grp", "doc_id", "ids", "key").repartition(min(groups, MOST_PARTITIONS), "grp").sortWithinPartitions("grp", "key", "doc_id", "ids")
     return sorted_in.select("grp", "doc_id", "ids").mapInArrow(run, MATRIX_SCHEMA)
 
 
