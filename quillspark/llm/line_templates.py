@@ -81,6 +81,7 @@ def recurring_positions(
     leaves = lines.select("leaf", "row").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs).select("leaf")
     variants = (
         lines.join(leaves, "leaf")
+        .repartition("leaf", "line", "row")  # else a leaf that holds a third of all lines would be counted in one task
         .groupBy("leaf", "line", "row")
         .agg(F.min("fields").alias("fields"))
         .groupBy("leaf", "line")
