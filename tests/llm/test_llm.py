@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quillspark.llm import bpe, lang_cnn, line_templates, media_avi, mixing, packing, queries, sharding, simhash, topk, url_rules
+from quillspark.llm import bpe, lang_cnn, line_templates, media_avi, mixing, near_copies, packing, queries, sharding, simhash, topk, url_rules
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, leaf string, slot int, found int, _slot int, _dropped int"
@@ -160,6 +160,35 @@ def test_one_per_group(hard):
     assert kept.columns == hard.columns and ids[0] == 1 and ids[1] == ids[2] == ids[4] == 0 and ids[3] == 1 and ids[None] == 2
 
 
+def test_near_copies_equal_brute_force_jaccard(spark, hard, monkeypatch):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(30):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 200))]
+        for _ in range(4):
+            copy = list(words)
+            for _ in range(rng.randrange(0, 5)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+            texts.append(" ".join(copy))
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    parent = list(range(len(texts)))
+    far = 0
+    fps = [brute_fingerprint(t) for t in texts]
+    for a, b in combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            far += (fps[a] ^ fps[b]).bit_count() > 4
+            low, high = sorted((parent[a], parent[b]))
+            parent = [low if x == high else x for x in parent]
+    frame = spark.createDataFrame(rows(*texts), SCHEMA)
+    want = {i for i, root in enumerate(parent) if i == root}
+    assert far > 20 and len(want) > 30  # pairs that four bits do not reach
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, frame, SF).collect()} == want
+    monkeypatch.setattr(near_copies.set_links, "__defaults__", (2,))  # many blocks
+    assert {r.doc_id for r in near_copies.without_near_copies(frame).collect()} == want
+    ids = Counter(r.doc_id for r in near_copies.without_near_copies(hard).collect())
+    assert ids[0] == 1 and ids[1] == ids[2] == ids[4] == 0 and ids[3] == 1 and ids[None] == 2
+
+
 def test_index_finds_all_links(spark):
     rng = random.Random(5)
     fps = {rng.getrandbits(64) for _ in range(150)}
