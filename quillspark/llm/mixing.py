@@ -5,9 +5,11 @@ is released at slot floor(i/w) and due by slot ceil((i+1)/w); every slot goes to
 block with the earliest deadline. Shares that add up to one are always schedulable this way, so
 after any number of slots a source has had its exact share to within less than one block.
 
-Weights are made fractions of a common number of slots, after which the schedule repeats; one
-period is computed by a fold of SQL functions. The rows of a source are numbered without gaps
-by hash order in parts, cut into blocks, and sent to their slots.
+Releases and deadlines are computed from the weights as they are, in whole numbers, so the bound
+holds at every size and for any number of sources. Only blocks that exist are scheduled: the
+driver keeps one block of each source in a heap and hands the slots on in chunks, a small row for
+each block. The rows of a source are numbered without gaps by hash order in parts, cut into
+blocks, and sent to their slots.
 
 Sources that run out early leave their slots empty: the others keep their order and proportions
 and everything is kept exactly once. Sources without a weight and null sources come after all
@@ -17,18 +19,25 @@ gives an empty result; other columns are kept.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import heapq
+import math
+from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable
+from quillspark.llm.common import durable, written
 
-#: Slots of a period: weights are rounded to multiples of 1/PERIOD, none to zero.
+#: Slots of a repeating schedule (``slots_of``): its weights are rounded to multiples of 1/PERIOD, none to zero. Mixing does not round.
 PERIOD = 1000
 #: Parts into which the numbering of each source is split.
 PARTS = 1024
+#: Blocks whose slots the driver holds at once.
+CHUNK = 1 << 18
+#: From this slot on (no real table gets there) blocks only keep their order.
+LAST = 1 << 62
 
 
 def slots_of(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -78,7 +87,50 @@ def schedule(spark: SparkSession, slots: Mapping[str, int]) -> DataFrame:
     return named.select("source", nth.alias("nth"), "slot")
 
 
-def _placed(docs: DataFrame, weights: Mapping[str, float], block: int, source_col: str, key_cols: Sequence[str], period: int) -> tuple[DataFrame, dict[str, str]]:
+def block_slots(weights: Mapping[str, float], blocks: Mapping[str, int]) -> Iterator[tuple[str, int, int]]:
+    """source, nth, slot of every block, by slot: the released block with the earliest deadline, then the source that comes first by name."""
+    live = {s: Fraction(w) for s, w in weights.items() if w > 0}
+    scale = math.lcm(*(w.denominator for w in live.values()))
+    share = {s: int(w * scale) for s, w in live.items()}
+    total = sum(share.values())
+    waiting = [(0, s, 0) for s in live if blocks.get(s, 0) > 0]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, str, int]] = []
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, min(waiting[0][0], LAST))
+        while waiting and (waiting[0][0] <= slot or not ready):
+            _, s, n = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(n + 1) * total // share[s]), s, n))
+        _, s, n = heapq.heappop(ready)
+        yield s, n, slot
+        slot += 1
+        if n + 1 < blocks[s]:
+            heapq.heappush(waiting, ((n + 1) * total // share[s], s, n + 1))
+
+
+def slot_table(spark: SparkSession, weights: Mapping[str, float], blocks: Mapping[str, int]) -> DataFrame:
+    """source, nth, slot of every block; more than CHUNK of them go to the shared folder."""
+    schema = pa.schema([("source", pa.string()), ("nth", pa.int64()), ("slot", pa.int64())])
+    made, held = [], []
+
+    def chunk() -> DataFrame:
+        columns = zip(*held, strict=True) if held else [(), (), ()]
+        return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
+
+    for row in block_slots(weights, blocks):
+        held.append(row)
+        if len(held) == CHUNK:
+            made.append(written(chunk()))
+            held.clear()
+    out = chunk()
+    for more in made:
+        out = out.unionByName(more)
+    return out
+
+
+def _placed(docs: DataFrame, weights: Mapping[str, float], block: int, source_col: str, key_cols: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
     """Rows under names of their own (no name can clash inside) with slot and place, and those names by column."""
     own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     marked = docs.select(
@@ -86,43 +138,43 @@ def _placed(docs: DataFrame, weights: Mapping[str, float], block: int, source_co
     )
     if not any(w > 0 for w in weights.values()):
         return marked.withColumn("p_slot", F.lit(None).cast("long")).withColumn("p_place", F.col("m_key")), own
-    slots = slots_of(weights, period)
-    shares = docs.sparkSession.range(1).select(F.inline(F.array(*[F.struct(F.lit(s).alias("source"), F.lit(n).alias("share")) for s, n in sorted(slots.items())])))
+    spark = docs.sparkSession
+    named = pa.table({"source": pa.array(sorted(s for s, w in weights.items() if w > 0), pa.string())})
     keyed = (
         marked.groupBy(F.col("m_source").alias("source"), F.col("m_key").alias("key"))
         .agg(F.count(F.lit(1)).alias("copies"))
-        .join(F.broadcast(shares), "source")
+        .join(F.broadcast(spark.createDataFrame(named)), "source")
         .withColumn("part", F.pmod("key", F.lit(PARTS)).cast("int"))
     )
     keyed = durable(keyed)
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = keyed.groupBy("source", "part").agg(F.sum("copies").alias("size"))
+    blocks = {r.source: -(-r.n // block) for r in sizes.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     offsets = sizes.select("source", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     running = Window.partitionBy("source", "part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    # at most period x PARTS offsets, and period slots
-    numbered = keyed.withColumn("ahead", F.coalesce(F.sum("copies").over(running), F.lit(0))).join(F.broadcast(offsets), ["source", "part"])
-    numbered = numbered.withColumn("n", F.col("offset") + F.col("ahead")).withColumn("b", F.expr(f"n div {block}"))
-    placed = numbered.withColumn("nth", F.pmod("b", "share").cast("int")).join(F.broadcast(schedule(docs.sparkSession, slots)), ["source", "nth"])
-    placed = placed.select(F.col("source").alias("p_source"), F.col("key").alias("p_key"), F.expr(f"(b div share) * {period} + slot").alias("p_slot"), F.expr(f"n % {block}").alias("p_place"))
+    numbered = keyed.withColumn("ahead", F.coalesce(F.sum("copies").over(running), F.lit(0))).join(offsets, ["source", "part"])
+    numbered = numbered.withColumn("n", F.col("offset") + F.col("ahead")).withColumn("nth", F.expr(f"n div {block}"))
+    placed = numbered.join(slot_table(spark, weights, blocks), ["source", "nth"])
+    placed = placed.select(F.col("source").alias("p_source"), F.col("key").alias("p_key"), F.col("slot").alias("p_slot"), F.expr(f"n % {block}").alias("p_place"))
     joined = marked.join(placed, (F.col("m_key") == F.col("p_key")) & (F.col("m_source") == F.col("p_source")), "left")
     return joined.withColumn("p_place", F.coalesce("p_place", "m_key")), own
 
 
 def mixed_places(
-    docs: DataFrame, weights: Mapping[str, float], block: int = 64, source_col: str = "source", key_cols: Sequence[str] = ("doc_id", "text"), period: int = PERIOD
+    docs: DataFrame, weights: Mapping[str, float], block: int = 64, source_col: str = "source", key_cols: Sequence[str] = ("doc_id", "text")
 ) -> DataFrame:
     """The columns of ``docs`` with _slot (of its source's block; null without a weight) and _place (order within the slot).
 
     The hash of ``key_cols`` gives each source an order that is random and independent of files. Columns of ``docs`` named
     _slot or _place give way.
     """
-    placed, own = _placed(docs, weights, block, source_col, key_cols, period)
+    placed, own = _placed(docs, weights, block, source_col, key_cols)
     return placed.select(*[F.col(a).alias(c) for c, a in own.items() if c not in ("_slot", "_place")], F.col("p_slot").alias("_slot"), F.col("p_place").alias("_place"))
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float], block: int = 64, source_col: str = "source", key_cols: Sequence[str] = ("doc_id", "text")) -> DataFrame:
     """``docs`` in mixed order: sorted over the whole table by slot and place, weighted rows first."""
-    placed, own = _placed(docs, weights, block, source_col, key_cols, PERIOD)
+    placed, own = _placed(docs, weights, block, source_col, key_cols)
     return placed.orderBy(F.col("p_slot").asc_nulls_last(), "p_place").select(*[F.col(a).alias(c) for c, a in own.items()])
 
 

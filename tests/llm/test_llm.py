@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -119,6 +120,28 @@ def test_mixed_places(real, hard, empty):
         mixing.slots_of({})
 
 
+def test_lag_to_exact_weights(spark, monkeypatch):
+    weights = {f"s{i:02}": 1.0 for i in range(21)}  # shares that are no multiples of 1/1000
+    sent, seen = Counter(), 0
+    for s, n, slot in mixing.block_slots(weights, dict.fromkeys(weights, 500)):
+        assert n == sent[s] and slot == seen and n * 21 < (slot + 1) and slot < (n + 1) * 21
+        sent[s], seen = n + 1, seen + 1
+    assert seen == 21 * 500
+    uneven = {s: float(i + 1) ** 0.7 for i, s in enumerate(weights)}
+    whole = sum(map(Fraction, uneven.values()))
+    for s, n, slot in mixing.block_slots(uneven, dict.fromkeys(weights, 300)):  # sources run out one after the other
+        w = Fraction(uneven[s]) / whole
+        assert math.floor(n / w) <= slot < math.ceil((n + 1) / w)
+    monkeypatch.setattr(mixing, "CHUNK", 100)
+    docs = spark.range(21 * 150).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.format_string("s%02d", F.col("id") % 21).alias("source"))
+    out = mixing.mixed_places(docs, weights, block=1).collect()
+    assert sorted(r._slot for r in out) == list(range(21 * 150))
+    counts = Counter()
+    for r in sorted(out, key=lambda r: r._slot):  # the drift shows where 1/21 is rounded to 48 of 1000 slots
+        counts[r.source] += 1
+        assert all(abs(counts[s] - (r._slot + 1) / 21) < 1 for s in weights)
+
+
 # --- 3 SimHash
 
 
