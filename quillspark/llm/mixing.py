@@ -181,4 +181,4 @@ def mix(docs: DataFrame, weights: Mapping[str, float], block: int = 64, source_c
 def measured_weights(docs: DataFrame, power: float = 0.7, source_col: str = "source") -> dict[str, float]:
     """Target weights by temperature: each source's size to ``power``. One small row per source comes to the driver."""
     sizes = docs.filter(F.col(source_col).isNotNull()).groupBy(F.col(source_col).cast("string").alias("source")).agg(F.count(F.lit(1)).alias("n"))
-    return {r.source: float(r.n) ** power for r in sizes.orderBy(F.desc("n"), "source").limit(PERIOD).collect()}
+    return {r.source: float(r.n) ** power for r in sizes.orderBy(F.desc("n"), "source").collect()}

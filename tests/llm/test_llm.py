@@ -142,6 +142,20 @@ def test_lag_to_exact_weights(spark, monkeypatch):
         assert all(abs(counts[s] - (r._slot + 1) / 21) < 1 for s in weights)
 
 
+def test_all_of_many_sources_are_mixed(spark):
+    sizes = [2000] + [2] * 1500
+    docs = spark.createDataFrame([(i, "x", f"s{s:04}") for s, n in enumerate(sizes) for i in range(n)], "doc_id long, text string, source string")
+    weights = mixing.measured_weights(docs)
+    out = mixing.mixed_places(docs, weights, block=1).collect()
+    assert len(weights) == 1501 and len({r._slot for r in out}) == sum(sizes) and all(r._slot is not None for r in out)
+    whole, nth = sum(map(Fraction, weights.values())), Counter()
+    for r in sorted(out, key=lambda r: r._slot):
+        w = Fraction(weights[r.source]) / whole
+        assert math.floor(nth[r.source] / w) <= r._slot < math.ceil((nth[r.source] + 1) / w)
+        nth[r.source] += 1
+    assert mixing.mix(docs, dict.fromkeys(weights, 1.0)).count() == sum(sizes)
+
+
 # --- 3 SimHash
 
 
