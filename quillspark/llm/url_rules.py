@@ -1,9 +1,11 @@
 """URL filters: a list of prefix rules, and association rules mined by FP-growth (native).
 
-A URL is a set of items: the labels of its host, the leading segments of its path, the leading
-parameters of its query and its fragment. FP-growth over the items of labelled pages, with the
-label as one more item, gives rules "these items: block"; those of enough support and confidence
-are kept, without the ones that contain a kept rule. Rules match through an inverted index: each
+A URL is a set of items: all labels of its host, segments of its path and parameters of its
+query, and its fragment. FP-growth over the items of labelled pages, with the label as one more
+item, gives rules "these items: block"; those of enough support and confidence are kept, without
+the ones that contain a kept rule. Items with too few bad pages for any rule are left out before,
+and of items that lie in the same pages one stands for all until the rules are there: neither
+changes the rules, but both keep baskets of long URLs narrow. Rules match through an inverted index: each
 is posted under its rarest item and compared in full only with URLs that hold that item.
 
 A listed rule overrides what was mined. Null URLs and those without ``://`` have an empty host and
@@ -14,6 +16,7 @@ in the result; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -23,8 +26,6 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import durable
 
 BLOCK = "=block"
-#: Items are taken from at most this many labels (from the right), path segments and parameters (from the left).
-LEADING = 4
 #: A mined rule needs this share of the labelled pages, this many of them, and this share of bad ones among those that it matches.
 SUPPORT, COUNT, CONFIDENCE = 0.005, 5, 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,7 +43,7 @@ def path_of(url: Column) -> Column:
 def items_of(url: Column) -> Column:
     """The distinct items of a URL: h: host label, p: path segment, q: parameter, f: fragment."""
     some = lambda text, by: F.filter(F.split(text, by, -1), lambda x: x != "")
-    tagged = lambda tag, xs: F.transform(F.slice(xs, 1, LEADING), lambda x: F.concat(F.lit(tag), x))
+    tagged = lambda tag, xs: F.transform(xs, lambda x: F.concat(F.lit(tag), x))
     part = lambda n: F.coalesce(F.regexp_extract(url, PARTS, n), F.lit(""))
     return F.array_distinct(
         F.concat(
@@ -73,11 +74,21 @@ def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, c
     """items, confidence, key (the rarest item) of the rules that block. ``pages``: page_id, url; ``labels``: doc_id, quality, toxic."""
     bad = F.coalesce(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)), F.lit(0))
     marks = labels.groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad"))
-    learned = pages.join(marks, "page_id").select(items_of(F.col("url")).alias("items"), "bad")
-    baskets = durable(learned.select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BLOCK))).otherwise(F.col("items")).alias("items")))
-    total = max(1, baskets.count())
+    learned = durable(pages.join(marks, "page_id").select(F.monotonically_increasing_id().alias("row"), items_of(F.col("url")).alias("items"), "bad"))
+    total = max(1, learned.count())
     # half a count less: the learner rounds share x total up
     least = min(1.0, max(support, (count - 0.5) / total))
+    held = learned.select("row", "bad", F.explode("items").alias("item"))
+    stats = held.groupBy("item").agg(
+        F.sum("bad").alias("n_bad"), F.count(F.lit(1)).alias("freq"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")
+    )
+    stats = durable(stats.filter(F.col("n_bad") >= math.floor(least * total)))
+    same = stats.groupBy("freq", "x", "y").agg(F.min("item").alias("rep"), F.array_sort(F.collect_list("item")).alias("members"))
+    same = durable(same.select("rep", "members"))
+    narrow = held.join(F.broadcast(same.select(F.col("rep").alias("item"))), "item").groupBy("row").agg(F.collect_list("item").alias("reps"))
+    reps = F.coalesce("reps", F.array().cast("array<string>"))
+    baskets = learned.select("row", "bad").join(narrow, "row", "left")
+    baskets = durable(baskets.select(F.when(F.col("bad") == 1, F.array_append(reps, F.lit(BLOCK))).otherwise(reps).alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.filter(F.col("consequent")[0] == BLOCK).select(F.array_sort("antecedent").alias("items"), "confidence")
     rules = durable(rules)
@@ -86,8 +97,11 @@ def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, c
     within = (F.size("i") < F.size("o")) & (F.size(F.array_except("i", "o")) == 0)
     extra = outer.join(inner, "first").filter(within).select(F.col("o").alias("items")).distinct()
     kept = rules.join(extra, "items", "left_anti")
-    freq = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
-    rarest = kept.select("items", "confidence", F.explode("items").alias("item")).join(freq, "item")
+    choices = kept.select("items", "confidence", F.explode("items").alias("rep")).join(same, "rep").groupBy("items", "confidence").agg(F.collect_list("members").alias("choices"))
+    extended = lambda made, members: F.flatten(F.transform(made, lambda x: F.transform(members, lambda m: F.array_append(x, m))))
+    every = F.aggregate("choices", F.array(F.array().cast("array<string>")), extended)
+    kept = choices.select(F.explode(every).alias("items"), "confidence").select(F.array_sort("items").alias("items"), "confidence")
+    rarest = kept.select("items", "confidence", F.explode("items").alias("item")).join(stats.select("item", "freq"), "item")
     return durable(rarest.groupBy("items").agg(F.max("confidence").alias("confidence"), F.min(F.struct("freq", "item"))["item"].alias("key")))
 
 

@@ -406,6 +406,27 @@ def test_url_rules(spark):
     assert url_rules.judge_urls(pages.limit(0), labels.limit(0), queries.LISTED).count() == 0
 
 
+def test_url_rules_of_long_urls(spark):
+    path = lambda i: f"2024/01/02/news/{'casino-x' if i % 4 == 0 else 'fine'}/" + "/".join(f"s{k}" for k in range(25))
+    query = lambda i: f"a=1&b=2&c=3&d=4&{'spam=1' if i % 4 == 1 else 'e=5'}"
+    host = lambda i: f"{'bad' if i % 4 == 2 else 'w'}.a.b.example.net"
+    urls = [f"http://{host(i)}/{path(i)}?{query(i)}" for i in range(200)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 3), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    items = lambda u: {("h", x) for x in u.split("/")[2].split(".")} | {("p", x) for x in u.split("?")[0].split("/")[3:]} | {("q", x) for x in u.split("?")[1].split("&")}
+    want, sets = set(), [items(u) for u in urls]
+    for size in (1, 2):  # brute force over small sets; what contains a rule is none
+        for xs in map(frozenset, combinations(sorted(set().union(*sets)), size)):
+            met = [i for i, s in enumerate(sets) if xs <= s]
+            if not any(w < xs for w in want) and sum(i % 4 != 3 for i in met) >= 5 and sum(i % 4 != 3 for i in met) >= 0.9 * len(met):
+                want.add(xs)
+    got = {frozenset((x[0], x[2:]) for x in r["items"]) for r in url_rules.mined_rules(pages, labels, confidence=0.9).collect()}
+    assert {w for w in got if len(w) <= 2} == want and all(frozenset([x]) in got for x in (("p", "casino-x"), ("q", "spam=1"), ("h", "bad")))
+    new = spark.createDataFrame([(i, u) for i, u in enumerate(["http://n.org/1/2/3/4/casino-x", "http://n.org/?v=1&w=2&x=3&y=4&spam=1", "http://bad.q.r.s.t", "http://n.org/1"])], "page_id long, url string")
+    met = {r.url for r in url_rules.blocked_urls(new, url_rules.mined_rules(pages, labels, confidence=0.9)).collect()}
+    assert len(met) == 3 and "http://n.org/1" not in met
+
+
 # --- 10 language ID
 
 
