@@ -226,6 +226,13 @@ def test_near_copies_equal_brute_force_jaccard(spark, hard, monkeypatch):
     assert ids[0] == 1 and ids[1] == ids[2] == ids[4] == 0 and ids[3] == 1 and ids[None] == 2
 
 
+def test_repeated_ids_with_different_texts_stay(spark):
+    first, second = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    frame = spark.createDataFrame(rows(first, start=7) + rows(second, start=7) + rows(second, start=7) + rows(first, start=8), SCHEMA)
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(7, first), (7, second)]
+
+
 def test_index_finds_all_links(spark):
     rng = random.Random(5)
     fps = {rng.getrandbits(64) for _ in range(150)}
