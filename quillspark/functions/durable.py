@@ -1,15 +1,40 @@
-"""Intermediate results that are used more than once."""
+"""Intermediate results that are used more than once, in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Without one, a temporary folder on a local master; on a cluster executors could not reach that, so it is an error."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quillspark-"))
+    return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder of ``spark.checkpoint.dir``; a temporary one only where the session has none."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillspark-"))
+    """Cut the lineage with a reliable checkpoint."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def new_path(spark: SparkSession, kind: str = "table") -> str:
+    """A path of its own in the shared folder; what is written there is deleted when the driver's file system is closed."""
+    path = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table: smaller than a checkpoint, and read by column."""
+    path = new_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

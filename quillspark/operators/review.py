@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import DEFAULT_NOTE, REGEX_NOTE, UNREVIEWED_NOTE
+from quillspark.functions.durable import durable
+from quillspark.functions.shipping import ship_package
 from quillspark.functions.text import strip
 
 VERDICT = "struct<is_gene:boolean,is_target:boolean,relevance:string,relation_type:string,evidence_from_text:string,explanation:string>"
@@ -115,40 +117,62 @@ def row_style(status: Column) -> Column:
 
 
 def pair_style(confidence: Column) -> Column:
-    """The colour of a mined row: sure, fair, or none."""
-    return F.when(confidence.startswith("Confirmed"), "green").when(confidence.startswith("High confidence"), "orange").otherwise("none")
+    """The colour of a mined row: sure, unsure, or none."""
+    sure = confidence.startswith("Confirmed") | confidence.startswith("High confidence")
+    return F.when(sure, "green").when(F.contains(confidence, F.lit("Unverified")), "orange").otherwise("none")
 
 
-def ask(batches: DataFrame, reviewer: Callable[[str], str | None], retries: int = 3) -> DataFrame:
+def group_style(pmid_count: Column) -> Column:
+    """The colour of a merged row: blue if two or more publications support it."""
+    return F.when(pmid_count >= 2, "blue").otherwise("none")
+
+
+def renamed_style(name: Column, norm: Column) -> Column:
+    """The colour of a normal name in the detail table: green if it differs from the name as found."""
+    return F.when(name != norm, "green").otherwise("none")
+
+
+def ask(batches: DataFrame, reviewer: Callable[[str], str | None], retries: int = 1) -> DataFrame:
     """batch, ids, response from a remote reviewer: a picklable function of a prompt, tried up to ``retries`` times; null if all fail.
 
+    Waits between tries are the reviewer's own business. A refused key (PermissionError) ends the job: no further call could succeed.
     Write the result before use: answers must not be asked for twice.
     """
 
+    def answered(prompt: str) -> str | None:
+        for _ in range(retries):
+            try:
+                answer = reviewer(prompt)
+            except PermissionError:
+                raise
+            except (OSError, ValueError):
+                continue
+            if answer is not None:
+                return answer
+        return None
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            answers = []
-            for prompt in frame["prompt"]:
-                answer = None
-                for _ in range(retries):
-                    try:
-                        answer = reviewer(prompt)
-                    except (OSError, ValueError):
-                        continue
-                    if answer is not None:
-                        break
-                answers.append(answer)
-            yield frame[["batch", "ids"]].assign(response=answers)
+            yield frame[["batch", "ids"]].assign(response=[answered(p) for p in frame["prompt"]])
 
+    ship_package(batches.sparkSession)
     return batches.mapInPandas(run, "batch long, ids array<long>, response string")
 
 
+def rounds(batches: DataFrame, size: int) -> Iterator[DataFrame]:
+    """The batches in rounds of about ``size``, dealt by their numbers: what one round answered is safe before the next one asks."""
+    n = max(1, -(-batches.count() // size))
+    for i in range(n):
+        yield batches.filter(F.pmod("batch", F.lit(n)) == i) if n > 1 else batches
+
+
 def number_rows(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
     """Running numbers from 1 in an order, by ranges: no task sees more than its range.
 
-    The rows are range-partitioned and sorted; counts of the partitions before give each one's first number.
+    The sorted rows are made durable together with their partition's number, so that the partitions that are counted are those
+    that are numbered; counts of the partitions before give each one's first number.
     """
-    ordered = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    ordered = durable(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     parts = ordered.withColumn("_part", F.shiftright("_id", 33))
     counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
