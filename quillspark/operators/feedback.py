@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.durable import durable
 from quillspark.functions.text import ordered_distinct, strip
+from quillspark.operators.review import ask, number_rows, unfenced
 
 
 def reviewed_only(reviewed: DataFrame) -> DataFrame:
@@ -33,6 +37,34 @@ def whitelist_candidates(reviewed: DataFrame, whitelist: DataFrame, least: int =
     return grouped.filter(F.col("n") >= least).join(listed, "gene", "left_anti").withColumn("relations", F.array_join(F.slice("relations", 1, 3), ", "))
 
 
+def judge_batches(candidates: DataFrame, size: int = 60, instructions: str = "") -> DataFrame:
+    """batch (from 0), n, names, data, prompt: candidates by falling count, then name, in batches for the judge.
+
+    ``data`` is a JSON list of the candidates' columns (gene as "name", n as "count"); the question is a parameter.
+    """
+    numbered = number_rows(candidates.withColumn("_rank", -F.col("n")), "_rank", "gene", name="_idx")
+    batched = numbered.withColumn("batch", F.expr(f"(_idx - 1) div {size}"))
+    names = {"gene": "name", "n": "count", "pmid_count": "pmid_count", "reasons": "reasons", "relations": "relations"}
+    given = ("gene", "n", "reasons") if "reasons" in candidates.columns else ("gene", "n", "pmid_count", "relations")
+    item = F.struct("_idx", F.struct(*[F.col(c).alias(names[c]) for c in given]).alias("item"))
+    grouped = batched.groupBy("batch").agg(F.array_sort(F.collect_list(item)).alias("xs")).withColumn("items", F.transform("xs", lambda x: x["item"]))
+    data = F.to_json("items")
+    prompt = F.concat(F.lit(f"{instructions}\n" if instructions else ""), data)
+    return grouped.select("batch", F.size("items").alias("n"), F.transform("items", lambda x: x["name"]).alias("names"), data.alias("data"), prompt.alias("prompt"))
+
+
+def parse_decisions(answers: DataFrame) -> DataFrame:
+    """name, decision, brief from the judge's answers (response): {"results": [...]}, fenced or not. Answers that hold none give no row."""
+    found = F.from_json(unfenced(F.col("response")), "struct<results:array<struct<name:string,decision:string,brief:string>>>")["results"]
+    return answers.select(F.explode(found).alias("x")).select("x.name", "x.decision", F.coalesce("x.brief", F.lit("")).alias("brief")).filter("name IS NOT NULL")
+
+
+def judge(candidates: DataFrame, reviewer: Callable[[str], str | None], size: int = 60, instructions: str = "") -> DataFrame:
+    """Decisions about all candidates; batches without a usable answer give none, so their names are proposed again."""
+    batches = judge_batches(candidates, size, instructions).select("batch", F.array(F.col("batch")).alias("ids"), "prompt")
+    return parse_decisions(durable(ask(batches, reviewer)))
+
+
 def accepted(decisions: DataFrame, decision: str) -> DataFrame:
     """Names that the judge decided so about ("always_non_gene" or "add")."""
     return decisions.filter(F.col("decision") == decision).select("name").distinct()

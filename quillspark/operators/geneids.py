@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import ORGANISMS, STRIP_PREFIXES
-from quillspark.functions.text import lookup, strip
+from quillspark.functions.durable import durable
+from quillspark.functions.shipping import ship_package
+from quillspark.functions.text import let, lookup, strip
 
 #: First cells of rows that hold no gene (fixed values).
 HEADINGS = ("GeneID", "基因名称", "基因符号", "RAP", "共")
+#: What an NCBI id looks like, and how a search term is written (fixed values).
+NCBI_ID = r"(?U)\A(LOC_?\d+|XM_|NM_|NP_|XR_|\d+)"
+TERM = "%s[Gene] AND %s[Organism]"
 
 
 def lookup_keys(groups: DataFrame) -> DataFrame:
@@ -24,7 +33,7 @@ def query_variants(species: Column, gene: Column) -> Column:
     prefix = F.coalesce(F.try_element_at(lookup(STRIP_PREFIXES.items()), species), F.lit(""))
     shorter = (prefix != "") & F.startswith(gene, prefix) & (F.length(gene) > F.length(prefix) + 1)
     names = F.when(shorter, F.array(gene, F.substring(gene, F.length(prefix) + 1, F.length(gene)))).otherwise(F.array(gene))
-    return F.transform(names, lambda n: F.concat(n, F.lit("[Gene] AND "), organism, F.lit("[Organism]")))
+    return F.transform(names, lambda n: F.format_string(TERM, n, organism))
 
 
 def entity_id(answer: Column) -> Column:
@@ -40,23 +49,31 @@ def table_cells(html: Column, table: str = r"<TABLE[^>]*id='TBResult'[^>]*>(.*?)
 
 
 def rice_ids(html: Column) -> Column:
-    """(rap, msu, ncbi) from the first data row of a lookup page; null without one. Columns are found by the header row."""
-    rows = table_cells(html)
-    wide = F.filter(rows, lambda r: F.size(r) >= 4)
-    header = F.get(F.filter(wide, lambda r: r[0] == "GeneID"), F.lit(0))
-    kinds = F.transform(header, lambda c: F.when(F.contains(c, F.lit("RAP")), "RAP").when(F.contains(c, F.lit("MSU")), "MSU").when(F.contains(c, F.lit("NCBI")), "NCBI").otherwise(""))
+    """(rap, msu, ncbi) from the first data row of a lookup page; null without one. Columns are found by the header row.
+
+    Cells, header and row are each bound once: they are used many times below.
+    """
     heading = lambda c: F.exists(F.array(*[F.lit(w) for w in HEADINGS]), lambda w: F.startswith(c, w))
-    data = F.get(F.filter(wide, lambda r: (r[0] != "") & ~heading(r[0])), F.lit(0))
+    kind = lambda c: F.when(F.contains(c, F.lit("RAP")), "RAP").when(F.contains(c, F.lit("MSU")), "MSU").when(F.contains(c, F.lit("NCBI")), "NCBI").otherwise("")
 
-    def value(kind: str) -> Column:
-        at = F.size(kinds) - F.array_position(F.reverse(kinds), F.lit(kind)).cast("int")  # the last such column
-        cell = F.when(F.array_contains(kinds, F.lit(kind)), F.get(data, at))
+    def value(found: Column, name: str) -> Column:
+        at = F.size(found["kinds"]) - F.array_position(F.reverse(found["kinds"]), F.lit(name)).cast("int")  # the last such column
+        cell = F.when(F.array_contains(found["kinds"], F.lit(name)), F.get(found["data"], at))
         first = F.regexp_extract(cell, r"(?U)\A(\S+)", 1)
         return F.coalesce(F.when(first != "", first).otherwise(cell), F.lit(""))
 
-    ncbi = value("NCBI")
-    checked = F.when(ncbi.rlike(r"(?U)\A(LOC_?\d+|XM_|NM_|NP_|XR_|\d+)"), ncbi).otherwise("")
-    return F.when(data.isNotNull(), F.struct(value("RAP").alias("rap"), value("MSU").alias("msu"), checked.alias("ncbi")))
+    def parts(rows: Column) -> Column:
+        header = F.get(F.filter(rows, lambda r: r[0] == "GeneID"), F.lit(0))
+        data = F.get(F.filter(rows, lambda r: (r[0] != "") & ~heading(r[0])), F.lit(0))
+        return F.struct(F.transform(header, kind).alias("kinds"), data.alias("data"))
+
+    def ids(found: Column) -> Column:
+        values = F.struct(*[value(found, name).alias(name.lower()) for name in ("RAP", "MSU", "NCBI")])
+        checked = lambda v: F.struct(v["rap"], v["msu"], F.when(v["ncbi"].rlike(NCBI_ID), v["ncbi"]).otherwise("").alias("ncbi"))
+        return F.when(found["data"].isNotNull(), let(values, checked))
+
+    wide = F.filter(table_cells(html), lambda r: F.size(r) >= 4)
+    return let(let(wide, parts), ids)
 
 
 def attach_ids(groups: DataFrame, gene_ids: DataFrame) -> DataFrame:
@@ -71,3 +88,37 @@ def id_stats(keys: DataFrame, gene_ids: DataFrame) -> DataFrame:
     hit = (F.coalesce("rap", F.lit("")) != "") | (F.coalesce("ncbi", F.lit("")) != "")
     sums = found.agg(F.count(F.lit(1)).alias("total"), F.count_if(hit).alias("resolved"))
     return sums.select("*", (F.col("total") - F.col("resolved")).alias("unresolved"), F.round(F.try_divide(F.col("resolved") * 100, F.col("total")), 1).alias("percent"))
+
+
+def answers(terms: DataFrame, lookup: Callable[[str], str | None], workers: int = 1) -> DataFrame:
+    """answer beside species, gene, term. ``workers`` calls run at a time, so a service sees at most ``workers`` calls in a lookup's pause.
+
+    Write the result before use: a service must not be asked twice.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(answer=[lookup(t) for t in frame["term"]])
+
+    ship_package(terms.sparkSession)
+    dealt = terms.select("species", "gene", "term").repartition(workers)
+    return dealt.mapInPandas(run, "species string, gene string, term string, answer string")
+
+
+def resolve_ids(groups: DataFrame, rice: Callable[[str], str | None], entity: Callable[[str], str | None], workers: int = 1) -> DataFrame:
+    """species, gene, rap, msu, ncbi for every gene of a known species; empty where neither service knows it.
+
+    Rice genes are looked up by name in the rice table. All others are searched by their terms in turn: a shorter term is only
+    tried for genes that the one before did not find. Each round of answers is made durable before it is used.
+    """
+    keys = durable(lookup_keys(groups))
+    found = rice_ids(F.col("answer"))
+    table = durable(answers(keys.filter("route = 'rice table'").withColumn("term", F.col("gene")), rice, workers))
+    made = [table.select("species", "gene", found.alias("x")).filter("x IS NOT NULL").select("species", "gene", "x.*")]
+    todo = keys.filter("route <> 'rice table'").withColumn("terms", query_variants(F.col("species"), F.col("gene")))
+    for n in range(2):
+        asked = durable(answers(todo.withColumn("term", F.get("terms", F.lit(n))).filter("term IS NOT NULL"), entity, workers))
+        hits = asked.select("species", "gene", F.lit("").alias("rap"), F.lit("").alias("msu"), entity_id(F.col("answer")).alias("ncbi")).filter("ncbi IS NOT NULL")
+        made.append(hits)
+        todo = todo.join(hits, ["species", "gene"], "left_anti")
+    return keys.select("species", "gene").join(reduce(DataFrame.unionByName, made), ["species", "gene"], "left").na.fill("", ["rap", "msu", "ncbi"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.dictionaries import LEGACY_PREFIXES, SPECIES
 from quillspark.functions.text import lookup, ordered_distinct, strip
 
+#: The arm of a mature miRNA, and marks that keep a row.
 ARM = r"(?:[.-]\d[ap]?)?"
 KEEP = ("yes", "y", "keep", "1", "true")
 
@@ -100,3 +101,28 @@ def normalize_stats(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 def changed_names(pairs: DataFrame, top: int = 15, order: str = "idx") -> DataFrame:
     """The first pairs whose miRNA name changed: a report of ``top`` rows."""
     return pairs.filter(F.col("mirna") != F.col("mirna_norm")).orderBy(order).limit(top).select(order, "mirna", "mirna_norm", "species")
+
+
+def statistics_rows(stats: DataFrame, id_stats: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """part, seq, label, value, note: the statistics of the stages before (the first three columns of their non-empty rows), then of this one.
+
+    ``prior``: a table with a column seq and up to three more that count; ``stats`` and ``id_stats``: one row each.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    share = lambda c: F.when(F.col(c).isNull(), "").otherwise(F.concat(F.col(c).cast("string"), F.lit("%")))
+    row = lambda seq, label, value="", note=None: F.struct(
+        F.lit(seq).cast("long").alias("seq"), F.lit(label).alias("label"), (text(value) if value else F.lit("")).alias("value"), (F.lit("") if note is None else note).alias("note")
+    )
+    normal = F.array(
+        row(1, "--- Normalization & Dedup ---"), row(2, "Pairs (before normalization)", "pairs"), row(3, "miRNA names changed", "changed", share("changed_percent")),
+        row(4, "Unique miRNAs (before)", "mirnas_before"), row(5, "Unique miRNAs (after)", "mirnas_after"), row(6, "Pair groups (after dedup)", "groups"),
+        row(7, "Merged entries", "merged"), row(8, "Multi-PMID support (>=2)", "multi_pmid"),
+    )
+    ids = F.array(row(9, "--- Gene ID Resolution ---"), row(10, "Unique genes queried", "total"), row(11, "Resolved", "resolved", share("percent")), row(12, "Unresolved", "unresolved"))
+    own = stats.select(F.inline(normal)).unionByName(id_stats.select(F.inline(ids))).withColumn("part", F.lit(1))
+    if prior is None:
+        return own.select("part", "seq", "label", "value", "note")
+    first = [c for c in prior.columns if c != "seq"][:3]
+    cells = [text(c).alias(n) for c, n in zip(first, ("label", "value", "note"), strict=False)] + [F.lit("").alias(n) for n in ("label", "value", "note")[len(first) :]]
+    kept = prior.select(F.lit(0).alias("part"), F.col("seq").cast("long").alias("seq"), *cells).filter("label <> '' OR value <> '' OR note <> ''")
+    return kept.unionByName(own)

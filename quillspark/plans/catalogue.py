@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from quillspark.functions.durable import durable
 from quillspark.functions.text import find_all, let, literals
 from quillspark.operators import feedback, geneids, mentions, normalize, pairs, records, review, sentences, species
 from quillspark.plans.corpus import corpus, files, verdicts
-from quillspark.plans.oracle import CTES, JOURNAL, RELATION, oracle, quoted, score
+from quillspark.plans.oracle import HYPHEN, JOURNAL, NEAR, RELATION, STRONG, oracle, quoted, score
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,7 +24,6 @@ def block() -> Column:
     return F.col("block")
 
 
-
 def query(sql: str) -> Callable[[Query], Query]:
     """Register a query under its name with the SQL that gives the same rows."""
 
@@ -203,18 +203,13 @@ def judged(spark: SparkSession, sf_dir: str, pattern: str) -> DataFrame:
     return corpus(spark, sf_dir).select("k", "block", F.explode(find_all(block(), pattern)).alias("x")).select("k", "block", "x.*")
 
 
-CONTEXT_SQL = CTES["gu"]
-
-
-@query("SELECT k, name, s AS start, {near} AS in_context, {hyphen} AS behind_hyphen FROM g3 x JOIN corpus USING (k)".format(
-    near=CONTEXT_SQL.split("THEN 'High confidence' WHEN ")[1].split(" THEN 'Unverified'")[0], hyphen="(s > 0 AND substr(block, s, 1) = '-')"))
+@query(f"SELECT k, name, s AS start, {NEAR} AS in_context, {HYPHEN} AS behind_hyphen FROM g3 x JOIN corpus USING (k)")
 def gene_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(spark, sf_dir, mentions.GENE["3"])
     return found.select("k", "name", "start", mentions.gene_context(block(), F.col("start"), F.col("end")).alias("in_context"), mentions.crosses_hyphen(block(), F.col("start")).alias("behind_hyphen"))
 
 
-@query("SELECT k, name, s AS start, {strong} AS strong FROM g4 x JOIN corpus USING (k)".format(
-    strong=CONTEXT_SQL.split("THEN 'High confidence' WHEN ")[2].split(" THEN 'Unverified'")[0]))
+@query(f"SELECT k, name, s AS start, {STRONG} AS strong FROM g4 x JOIN corpus USING (k)")
 def gene_strong_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(spark, sf_dir, mentions.GENE["4"])
     return found.select("k", "name", "start", mentions.strong_gene_context(block(), F.col("end")).alias("strong"))
@@ -317,7 +312,7 @@ def pair_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.pair_stats(pairs.mine_pairs(mentioned(spark, sf_dir)))
 
 
-@query("SELECT k, mirna, gene, CASE WHEN confidence LIKE 'Confirmed%' THEN 'green' WHEN confidence LIKE 'High confidence%' THEN 'orange' ELSE 'none' END AS style FROM pairs")
+@query("SELECT k, mirna, gene, CASE WHEN confidence LIKE 'Confirmed%' OR confidence LIKE 'High confidence%' THEN 'green' WHEN contains(confidence, 'Unverified') THEN 'orange' ELSE 'none' END AS style FROM pairs")
 def row_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.mine_pairs(mentioned(spark, sf_dir)).select("k", "mirna", "gene", review.pair_style(F.col("confidence")).alias("style"))
 
@@ -433,6 +428,41 @@ def changed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.changed_names(normalized(spark, sf_dir))
 
 
+@query("SELECT species, mirna_norm, gene_norm, CASE WHEN pmid_count >= 2 THEN 'blue' ELSE 'none' END AS style FROM groups")
+def group_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups(spark, sf_dir).select("species", "mirna_norm", "gene_norm", review.group_style(F.col("pmid_count")).alias("style"))
+
+
+@query("SELECT idx, mirna, mirna_norm, CASE WHEN mirna <> mirna_norm THEN 'green' ELSE 'none' END AS style FROM normalized")
+def detail_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalized(spark, sf_dir).select("idx", "mirna", "mirna_norm", review.renamed_style(F.col("mirna"), F.col("mirna_norm")).alias("style"))
+
+
+@query("""SELECT 0 AS part, seq, label, value, '' AS note FROM (SELECT 1::BIGINT AS seq, 'Unique PMIDs' AS label, count(DISTINCT nullif(pmid, ''))::VARCHAR AS value FROM pairs
+    UNION ALL SELECT 2, 'Not reviewed', count(*)::VARCHAR FROM reviewed WHERE review_result = 'Not reviewed')
+    UNION ALL SELECT 1, u.seq, u.label, u.value, u.note FROM (
+      SELECT unnest([{'seq': 1, 'label': '--- Normalization & Dedup ---', 'value': '', 'note': ''}, {'seq': 2, 'label': 'Pairs (before normalization)', 'value': n::VARCHAR, 'note': ''},
+        {'seq': 3, 'label': 'miRNA names changed', 'value': changed::VARCHAR, 'note': coalesce(round(changed * 100.0 / n, 1)::VARCHAR || '%', '')},
+        {'seq': 4, 'label': 'Unique miRNAs (before)', 'value': m1::VARCHAR, 'note': ''}, {'seq': 5, 'label': 'Unique miRNAs (after)', 'value': m2::VARCHAR, 'note': ''},
+        {'seq': 6, 'label': 'Pair groups (after dedup)', 'value': g::VARCHAR, 'note': ''}, {'seq': 7, 'label': 'Merged entries', 'value': (n - g)::VARCHAR, 'note': ''},
+        {'seq': 8, 'label': 'Multi-PMID support (>=2)', 'value': multi::VARCHAR, 'note': ''}, {'seq': 9, 'label': '--- Gene ID Resolution ---', 'value': '', 'note': ''},
+        {'seq': 10, 'label': 'Unique genes queried', 'value': total::VARCHAR, 'note': ''}, {'seq': 11, 'label': 'Resolved', 'value': hits::VARCHAR, 'note': coalesce(round(hits * 100.0 / total, 1)::VARCHAR || '%', '')},
+        {'seq': 12, 'label': 'Unresolved', 'value': (total - hits)::VARCHAR, 'note': ''}]) AS u FROM
+      (SELECT count(*) AS n, count(*) FILTER (WHERE mirna <> mirna_norm) AS changed, count(DISTINCT mirna) AS m1, count(DISTINCT mirna_norm) AS m2 FROM normalized),
+      (SELECT count(*) AS g, count(*) FILTER (WHERE pmid_count >= 2) AS multi FROM groups),
+      (SELECT count(*) AS total, count(*) FILTER (WHERE coalesce(rap, '') <> '' OR coalesce(ncbi, '') <> '') AS hits FROM keys LEFT JOIN gene_ids USING (species, gene)))""")
+def statistics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = reviewed(spark, sf_dir)
+    detail = normalize.normalized(normalize.kept_pairs(rows))
+    merged = normalize.merge_pairs(detail)
+    row = lambda seq, label, value: F.struct(F.lit(seq).alias("seq"), F.lit(label).alias("label"), value.cast("string").alias("value"), F.lit(None).cast("string").alias("remark"))
+    empty = F.struct(F.lit(3).alias("seq"), F.lit("").alias("label"), F.lit(None).cast("string").alias("value"), F.lit("").alias("remark"))
+    counts = rows.agg(F.countDistinct(F.nullif("pmid", F.lit(""))).alias("pmids"), F.count_if(F.col("review_result") == "Not reviewed").alias("left"))
+    prior = counts.select(F.inline(F.array(row(1, "Unique PMIDs", F.col("pmids")), row(2, "Not reviewed", F.col("left")), empty)))
+    keys = geneids.lookup_keys(merged)
+    return normalize.statistics_rows(normalize.normalize_stats(detail, merged), geneids.id_stats(keys, gene_ids(keys)), prior)
+
+
 # --- gene identifiers
 
 
@@ -486,6 +516,28 @@ def gene_id_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geneids.id_stats(keys, gene_ids(keys))
 
 
+def stub_rice(gene: str) -> str | None:
+    """A rice table that knows genes with names of even length."""
+    if len(gene) % 2:
+        return None
+    head = "<tr><td>GeneID</td><td>Name</td><td>RAP</td><td>MSU</td><td>NCBI</td></tr>"
+    return f"<TABLE id='TBResult'>{head}<tr><td>7</td><td>{gene}</td><td>Os_{gene} x</td><td>LOC_{gene}</td><td>{len(gene)}</td></tr></TABLE>"
+
+
+def stub_entity(term: str) -> str | None:
+    """An entity search that knows names of up to four characters."""
+    name = term.split("[")[0]
+    return '{"esearchresult":{"idlist":[%s]}}' % (f'"{name}-id","x"' if len(name) <= 4 else "")
+
+
+@query(f"""SELECT species, gene, CASE WHEN species = 'rice' AND length(gene) % 2 = 0 THEN 'Os_' || gene ELSE '' END AS rap, CASE WHEN species = 'rice' AND length(gene) % 2 = 0 THEN 'LOC_' || gene ELSE '' END AS msu,
+      CASE WHEN species = 'rice' THEN CASE WHEN length(gene) % 2 = 0 THEN length(gene)::VARCHAR ELSE '' END WHEN length(gene) <= 4 THEN gene || '-id'
+        WHEN prefix IS NOT NULL AND starts_with(gene, prefix) AND length(gene) > length(prefix) + 1 AND length(gene) - length(prefix) <= 4 THEN gene[length(prefix) + 1:] || '-id' ELSE '' END AS ncbi
+    FROM keys LEFT JOIN (SELECT unnest([{quoted(STRIP_PREFIXES)}]) AS n, unnest([{quoted(STRIP_PREFIXES.values())}]) AS prefix) p ON p.n = species""")
+def gene_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geneids.resolve_ids(groups(spark, sf_dir), stub_rice, stub_entity, workers=4)
+
+
 # --- feedback
 
 
@@ -505,6 +557,50 @@ def whitelist_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feedback.whitelist_candidates(reviewed(spark, sf_dir), names_table(spark, WHITELIST))
 
 
+def judge_sql(table: str, fields: str) -> str:
+    """Batches of 60 candidates by falling count and name, with their JSON."""
+    return f"""SELECT batch, count(*)::INT AS n, string_agg(gene, ',' ORDER BY r) AS names, '[' || string_agg(item, ',' ORDER BY r) || ']' AS data FROM (
+        SELECT *, (r - 1) // 60 AS batch, to_json({fields})::VARCHAR AS item FROM (SELECT *, row_number() OVER (ORDER BY n DESC, gene) AS r FROM ({table}))) GROUP BY batch"""
+
+
+def judge_rows(candidates: DataFrame) -> DataFrame:
+    return feedback.judge_batches(durable(candidates)).select("batch", "n", F.array_join("names", ",").alias("names"), "data")
+
+
+# p_name and p_brand stand for names here: the corpus has too few genes to fill a batch
+PART_CANDIDATES = """SELECT p_name || '#' || (p_partkey % 150)::VARCHAR AS gene, count(*) AS n, count(DISTINCT p_brand) AS pmid_count, min(p_brand) || '; ' || max(p_brand) AS reasons,
+    min(p_type) AS relations FROM part GROUP BY 1"""
+
+
+def part_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return part.groupBy(F.expr("p_name || '#' || CAST(p_partkey % 150 AS STRING)").alias("gene")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("p_brand").alias("pmid_count"), F.concat(F.min("p_brand"), F.lit("; "), F.max("p_brand")).alias("reasons"), F.min("p_type").alias("relations")
+    )
+
+
+@query(judge_sql(PART_CANDIDATES, "{'name': gene, 'count': n, 'reasons': reasons}"))
+def judge_blacklist_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_rows(part_candidates(spark, sf_dir).drop("relations"))
+
+
+@query(judge_sql(PART_CANDIDATES, "{'name': gene, 'count': n, 'pmid_count': pmid_count, 'relations': relations}"))
+def judge_whitelist_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_rows(part_candidates(spark, sf_dir).drop("reasons"))
+
+
+def stub_judge(prompt: str) -> str:
+    """A judge that is sure about names that end in an even digit, and fences its answer."""
+    items = json.loads(prompt[prompt.index("[") :])
+    made = [{"name": x["name"], "decision": "always_non_gene" if x["name"][-1] in "02468" else "context_dependent"} for x in items]
+    return "```json\n" + json.dumps({"results": made}) + "\n```"
+
+
+@query(f"SELECT gene AS name, CASE WHEN right(gene, 1) IN ('0', '2', '4', '6', '8') THEN 'always_non_gene' ELSE 'context_dependent' END AS decision, '' AS brief FROM ({PART_CANDIDATES})")
+def judge_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feedback.judge(durable(part_candidates(spark, sf_dir)), stub_judge, instructions="Which of these are never genes?")
+
+
 @query(f"""SELECT 'blacklist' AS list, name, false AS added, false AS conflict FROM (SELECT unnest([{quoted(BLACKLIST)}]) AS name)
     UNION ALL SELECT 'whitelist', name, false, false FROM (SELECT unnest([{quoted(WHITELIST)}]) AS name)
     UNION ALL SELECT 'blacklist', name, true, name IN (SELECT p_brand FROM part WHERE p_partkey % 3 = 0) FROM (SELECT DISTINCT p_brand AS name FROM part WHERE p_partkey % 2 = 0)
@@ -521,5 +617,3 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
-
-

@@ -52,3 +52,32 @@ def write_dictionaries(lists: DataFrame, folder: str) -> str:
     path = f"{folder.rstrip('/')}/version-{datetime.datetime.now(datetime.timezone.utc):%Y%m%dT%H%M%S%f}"
     lists.select("list", "name").coalesce(1).write.parquet(path)
     return path
+
+
+VERDICTS = "idx long, is_gene boolean, is_target boolean, relevance string, relation_type string, explanation string"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system exists."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def first_existing(spark: SparkSession, *paths: str) -> str:
+    """The first of some paths that exists: the reviewed table, say, else the pairs as mined."""
+    for path in paths:
+        if path and exists(spark, path):
+            return path
+    raise FileNotFoundError(f"none of these exists: {', '.join(filter(None, paths))}")
+
+
+def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
+    """The verdicts given so far; none before the first ones are appended. A pair that was answered twice keeps one answer."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], VERDICTS)
+    return spark.read.schema(VERDICTS).parquet(path).dropDuplicates(["idx"])
+
+
+def append_verdicts(verdicts: DataFrame, path: str) -> None:
+    """Add verdicts to those on file, from where a later run goes on."""
+    verdicts.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in verdicts.sparkSession.createDataFrame([], VERDICTS).schema]).write.mode("append").parquet(path)

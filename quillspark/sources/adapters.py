@@ -1,6 +1,6 @@
-"""Optional adapters for remote services: a chat endpoint and two gene lookups. Keys come from the environment.
+"""Optional adapters for remote services: a chat endpoint and GET lookups. Keys come from the environment.
 
-Adapters are picklable callables for ``review.ask`` and ``resolve``; none is on the path of a query.
+Adapters are picklable callables for ``review.ask``, ``feedback.judge`` and ``geneids.resolve_ids``; none is on the path of a query.
 """
 
 from __future__ import annotations
@@ -11,40 +11,58 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
 class ChatReviewer:
-    """A chat-completion endpoint: returns the answer's text, None on a refusal; a wrong key raises PermissionError."""
+    """A chat-completion endpoint: returns the answer's text; None if no try gave one that holds JSON.
+
+    A refused key (401) raises PermissionError at once. 429 waits ``wait`` seconds times the number of tries, anything else ``pause``.
+    """
 
     url: str
     model: str
     key_variable: str = "LLM_API_KEY"
     timeout: float = 60
     wait: float = 5
+    pause: float = 2
+    between: float = 0.1
     tries: int = 3
+    max_tokens: int = 2500
+
+    def single(self) -> ChatReviewer:
+        """The same endpoint for one pair at a time: shorter waits and answers."""
+        return replace(self, timeout=self.timeout / 2, wait=3, pause=1, between=0.3, max_tokens=300)
 
     def __call__(self, prompt: str) -> str | None:
-        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": 0.1, "max_tokens": 2500}
+        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": 0.1, "max_tokens": self.max_tokens}
         headers = {"Authorization": f"Bearer {os.environ[self.key_variable]}", "Content-Type": "application/json"}
         for attempt in range(1, self.tries + 1):
+            rest = self.pause
             try:
                 request = urllib.request.Request(self.url, json.dumps(body).encode(), headers)
                 with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                    return json.load(answer)["choices"][0]["message"]["content"]
+                    text = json.load(answer)["choices"][0]["message"]["content"]
+                json.loads(plain(text))
+                time.sleep(self.between)
+                return text
             except urllib.error.HTTPError as error:
                 if error.code == 401:
                     raise PermissionError("the key was refused") from error
-                if attempt < self.tries:
-                    time.sleep(self.wait * attempt if error.code == 429 else 2)
+                rest = self.wait * attempt if error.code == 429 else self.pause
+            except (OSError, ValueError, KeyError, IndexError, TypeError):
+                pass
+            if attempt < self.tries:
+                time.sleep(rest)
         return None
 
 
+def plain(answer: str) -> str:
+    """An answer without a code fence."""
+    return answer.split("```")[1].removeprefix("json").strip() if "```" in answer else answer.strip()
+
+
 @dataclass(frozen=True)
 class HttpLookup:
     """A GET endpoint: the answer's text for the formatted address, None if it fails. ``pause`` seconds follow each call."""
@@ -56,19 +74,10 @@ class HttpLookup:
 
     def __call__(self, term: str) -> str | None:
         try:
-            with urllib.request.urlopen(self.address.format(urllib.parse.quote(term)), timeout=self.timeout) as answer:
+            request = urllib.request.Request(self.address.format(urllib.parse.quote(term)), headers={"User-Agent": "Mozilla/5.0"})
+            with urllib.request.urlopen(request, timeout=self.timeout) as answer:
                 return answer.read().decode(self.encoding, "replace")
         except OSError:
             return None
         finally:
             time.sleep(self.pause)
-
-
-def resolve(keys: DataFrame, lookup: Callable[[str], str | None], term_col: str = "term") -> DataFrame:
-    """answer beside the columns species, gene, term of distinct keys. Write the result before use."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.assign(answer=[lookup(t) for t in frame[term_col]])
-
-    return keys.select("species", "gene", term_col).mapInPandas(run, f"species string, gene string, {term_col} string, answer string")
