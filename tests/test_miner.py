@@ -2,6 +2,9 @@
 
 import json
 import os
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
+from types import SimpleNamespace
 
 import duckdb
 import pandas as pd
@@ -11,11 +14,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from quillspark import cli
 from quillspark.functions.dictionaries import BLACKLIST, WHITELIST, Dictionaries
 from quillspark.functions.text import find_all
 from quillspark.operators import feedback, geneids, mentions, normalize, pairs, records, review, sentences, species
+from quillspark.functions import durable
 from quillspark.plans import catalogue, workflow
-from quillspark.sources import abstracts
+from quillspark.sources import abstracts, adapters
 from quillspark.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -245,6 +250,191 @@ def test_verdict_parsing(spark):
     assert values(spark, ['```json\n[{"is_target":true}]\n```'], review.parse_verdicts)[0][0].relevance == "targeting"
 
 
+def test_a_million_rows_are_numbered_in_order(spark):
+    """Rows of unequal width over 32 partitions, with adaptive execution: exactly 1 to n, in order."""
+    n = 1_000_000
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        i = F.col("id")
+        rows = spark.range(0, n, 1, 32).select(F.pmod(F.xxhash64("id"), F.lit(n // 3)).alias("a"), i.alias("b"), F.when(i % 50 == 0, F.repeat(F.lit("x"), 400)).otherwise("y").alias("w"))
+        out = review.number_rows(rows, "a", "b")
+        assert tuple(out.agg(F.count("idx"), F.countDistinct("idx"), F.min("idx"), F.max("idx")).first()) == (n, n, 1, n)
+        some = out.filter("idx % 997 < 2").orderBy("idx").select("idx", "a", "b").collect()
+        assert all((x.a, x.b) < (y.a, y.b) for x, y in zip(some, some[1:], strict=False))
+        least = out.filter("idx <= 3").orderBy("idx").select("a", "b").collect()
+        assert least == rows.select("a", "b").orderBy("a", "b").limit(3).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+    assert review.number_rows(rows.limit(0), "a", "b").count() == 0
+
+
+class Service(BaseHTTPRequestHandler):
+    """A chat endpoint and two lookups that keep count of their calls."""
+
+    calls: list = []
+
+    def log_message(self, *_):
+        pass
+
+    def reply(self, code, text):
+        self.send_response(code)
+        self.end_headers()
+        self.wfile.write(text.encode("gb2312"))
+
+    def do_GET(self):
+        self.calls.append(self.path)
+        if self.path.startswith("/rice"):
+            gene = self.path.split("=")[1]
+            row = f"<tr><td>1</td><td>{gene}</td><td>Os01 x</td><td>LOC_1</td><td>XM_5</td></tr>"
+            self.reply(200, f"<TABLE id='TBResult'><tr><td>GeneID</td><td>基因</td><td>RAP</td><td>MSU</td><td>NCBI</td></tr>{row if gene != 'OsNONE' else ''}</TABLE>")
+        else:
+            self.reply(200, json.dumps({"esearchresult": {"idlist": ["42"] if "Rht1%5B" in self.path and "TaRht1" not in self.path else []}}))
+
+    def do_POST(self):
+        prompt = json.loads(self.rfile.read(int(self.headers["Content-Length"])))["messages"][0]["content"]
+        self.calls.append(prompt)
+        if self.headers["Authorization"] != "Bearer good":
+            return self.reply(401, "")
+        if len(self.calls) == 1:
+            return self.reply(429, "")
+        if "count" in prompt:
+            names = [x["name"] for x in json.loads(prompt[prompt.index("[") :])]
+            answer = json.dumps({"results": [{"name": n, "decision": "always_non_gene", "brief": "b"} for n in names]})
+        else:
+            answer = json.dumps([{"is_gene": False, "relation_type": "none", "explanation": "a cultivar"}] * prompt.count("miRNA: "))
+        return self.reply(200, json.dumps({"choices": [{"message": {"content": f"```json\n{answer}\n```"}}]}))
+
+
+@pytest.fixture
+def service(monkeypatch):
+    Service.calls = []
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    monkeypatch.setenv("QUILL_TEST_KEY", "good")
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def test_chat_reviewer(service, monkeypatch):
+    chat = adapters.ChatReviewer(f"{service}/chat", "m", "QUILL_TEST_KEY", wait=0, pause=0, between=0)
+    assert json.loads(adapters.plain(chat("miRNA: x")))[0]["is_gene"] is False and len(Service.calls) == 2  # a 429 first
+    monkeypatch.setenv("QUILL_TEST_KEY", "bad")
+    with pytest.raises(PermissionError):
+        chat("miRNA: x")
+    assert len(Service.calls) == 3 and (chat.single().wait, chat.single().max_tokens, chat.single().timeout) == (3, 300, 30)
+    assert adapters.ChatReviewer("http://127.0.0.1:9/none", "m", "QUILL_TEST_KEY", wait=0, pause=0)("x") is None
+
+
+def test_refused_key_ends_the_job(spark):
+    batches = spark.createDataFrame([(i, [i], "p") for i in range(4)], "batch long, ids array<long>, prompt string")
+
+    def refuse(_):
+        raise PermissionError("the key was refused")
+
+    with pytest.raises(Exception, match="refused"):
+        review.ask(batches, refuse).collect()
+
+    def fail(_):
+        raise OSError("away")
+
+    assert [r.response for r in review.ask(batches, fail, retries=2).collect()] == [None] * 4
+
+
+def test_gene_resolution_end_to_end(spark, service):
+    rows = [("rice", "OsSPL14"), ("rice", "OsNONE"), ("wheat", "TaRht1"), ("wheat", "TaZ"), ("maize", "None1"), ("unknown", "X1")]
+    groups = spark.createDataFrame(rows + rows, "species string, gene_norm string")
+    rice, entity = adapters.HttpLookup(f"{service}/rice?para={{}}", "gb2312", pause=0), adapters.HttpLookup(f"{service}/search?term={{}}", pause=0)
+    out = {(r.species, r.gene): (r.rap, r.msu, r.ncbi) for r in geneids.resolve_ids(groups, rice, entity).collect()}
+    assert out == {
+        ("rice", "OsSPL14"): ("Os01", "LOC_1", "XM_5"), ("rice", "OsNONE"): ("", "", ""), ("wheat", "TaRht1"): ("", "", "42"), ("wheat", "TaZ"): ("", "", ""), ("maize", "None1"): ("", "", ""),
+    }
+    assert len(Service.calls) == 6  # each gene once, the prefixed one with its second term
+    assert adapters.HttpLookup("http://127.0.0.1:9/{}", pause=0)("x") is None
+
+
+def test_review_resumes_from_saved_verdicts(spark, tmp_path):
+    schema = "idx long, mirna string, gene string, species string, title string, sentence string, confidence string, relation_type string"
+    found = spark.createDataFrame([(i, "miR1", "G1", "rice", "t", "s", "Unverified", "targeting") for i in range(1, 41)], schema)
+    path, down = str(tmp_path / "verdicts"), tmp_path / "down"
+    good = json.dumps([{"is_gene": True, "relevance": "related"}])
+
+    def answer(prompt):
+        if down.exists():
+            raise PermissionError("the key was refused")
+        return good if "--- [" not in prompt else json.dumps(json.loads(good) * prompt.count("miRNA: "))
+
+    assert abstracts.read_verdicts(spark, path).count() == 0
+    first = workflow.answered(found.filter("idx <= 10"), answer)
+    abstracts.append_verdicts(first, path)
+    down.touch()
+    with pytest.raises(Exception, match="refused"):
+        workflow.review_into(found, path, answer, save_every=3)
+    assert abstracts.read_verdicts(spark, path).count() == 10  # what was answered before is safe
+    down.unlink()
+    out = workflow.review_into(found, path, answer, save_every=3)
+    assert out.filter("review_result = 'Weak association'").count() == 40 == abstracts.read_verdicts(spark, path).count()
+    down.touch()
+    assert workflow.review_into(found, path, answer).filter("review_result = 'Weak association'").count() == 40  # nothing is asked again
+
+
+def test_review_status_golden_cases(spark):
+    schema = "idx long, confidence string, relation_type string"
+    found = spark.createDataFrame([(1, "Unverified", "targeting"), (2, "Unverified", "x"), (3, "Unverified", "x"), (4, "Unverified", "x"), (5, "Confirmed", "targeting"), (6, "Confirmed (gene unverified)", "targeting")], schema)
+    verdicts = spark.createDataFrame([(1, False, True, "targeting", "x", "n"), (2, True, False, "targeting", "cleavage", "n"), (3, True, False, "related", "x", "n"), (4, True, False, "unrelated", "x", "")], abstracts.VERDICTS)
+    out = {r.idx: (r.review_result, r.rationale) for r in review.merge_verdicts(found, verdicts).collect()}
+    assert [out[i][0] for i in range(1, 7)] == [
+        "Excluded (non-gene)", "Confirmed (cleavage)", "Weak association", "Excluded (non-target)", "Confirmed (regex high confidence)", "Not reviewed",
+    ]
+    assert out[4][1] == "Pure co-occurrence / enumeration, no biological relevance"
+
+
+def test_feedback_golden_cases(spark):
+    schema = "idx long, gene string, pmid string, confidence string, review_result string, rationale string"
+    names = lambda xs: catalogue.names_table(spark, xs)
+    rows = [(1, "ZZZ1", "1", "Unverified", "Excluded (non-gene)", "r"), (2, "QRS7", "1", "Unverified", "Confirmed (x)", "r"), (3, "QRS7", "2", "Unverified", "Confirmed (y)", "r")]
+    rows += [(4, "QRS8", "1", "High confidence (gene unverified)", "Confirmed (x)", "r"), (5, "QRS8", "2", "High confidence (gene unverified)", "Confirmed (x)", "r"), (6, "QRS9", "1", "Unverified", "Confirmed (x)", "r")]
+    frame = spark.createDataFrame(rows, schema)
+    assert [r.gene for r in feedback.non_gene_candidates(frame, names(BLACKLIST)).collect()] == ["ZZZ1"]
+    assert [(r.gene, r.n, r.pmid_count, r.relations) for r in feedback.whitelist_candidates(frame, names(WHITELIST)).collect()] == [("QRS7", 2, 2, "x, y")]
+    judged = feedback.judge(feedback.non_gene_candidates(frame, names(BLACKLIST)), lambda _: "no answer")
+    assert judged.count() == 0  # proposed again next time
+
+
+def test_command_lines(spark, service, tmp_path, capsys):
+    spark.sparkContext.environment["QUILL_TEST_KEY"] = "good"  # what workers find in their environment
+    out, texts = str(tmp_path / "out"), tmp_path / "a.txt"
+    texts.write_text(RECORD.replace("OsmiR396b targets OsGRF4 in rice.", "OsmiR396b targets OsGRF4 in rice. Both miR1 and ABC1 were associated with the target gene XYZ1."))
+    run = lambda *args: cli.main([*args, "--out", out], spark)
+    run("extract", str(texts))
+    assert spark.read.parquet(f"{out}/statistics").count() == 4
+    run("review")
+    assert spark.read.parquet(f"{out}/reviewed").filter("`LLM Review Result` = 'Not reviewed'").count() > 0
+    Service.calls.append("past the first")
+    run("review", "--url", f"{service}/chat", "--model", "m", "--key-variable", "QUILL_TEST_KEY")
+    assert spark.read.parquet(f"{out}/verdicts").count() > 0
+    run("normalize", "--rice-url", f"{service}/rice?para={{}}", "--statistics", f"{out}/statistics")
+    final = spark.read.parquet(f"{out}/final_groups").collect()
+    assert [(r.no, r.rap, r.style) for r in final] == [(1, "Os01", "none")]
+    rows = spark.read.parquet(f"{out}/final_statistics").collect()
+    assert sum(r.part == 0 for r in rows) == 4 and any(r.label == "Resolved" and (r.value, r.note) == ("1", "100.0%") for r in rows)
+    run("learn")
+    assert "blacklist: " in capsys.readouterr().out and not os.path.exists(f"{out}/lists")
+    chat = ("--url", f"{service}/chat", "--model", "m", "--key-variable", "QUILL_TEST_KEY")
+    run("learn", *chat)
+    assert "preview only" in capsys.readouterr().out and not os.path.exists(f"{out}/lists")
+    run("learn", *chat, "--apply")
+    assert len(os.listdir(f"{out}/lists")) == 1
+    with pytest.raises(FileNotFoundError):
+        cli.main(["learn", "--out", str(tmp_path / "none")], spark)
+
+
+def test_shared_folder_of_a_cluster_is_never_local():
+    session = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"), conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError):
+        durable.shared_folder(session)
+
+
 def test_empty_inputs(spark):
     frame = spark.createDataFrame([], "k long, block string, title string")
     assert pairs.mine_pairs(pairs.with_mentions(frame)).count() == 0
@@ -262,7 +452,7 @@ def plain(frame):
     return sorted(repr([clean(v) for v in row]) for row in frame.itertuples(index=False, name=None))
 
 
-@pytest.mark.parametrize("name", ["records_split", "meta_title", "sentences_split", "mirna_all", "gene_all", "species_votes", "pairs_full", "review_merge", "dedup_merge", "gene_id_join", "whitelist_candidates", "dictionary_apply"])
+@pytest.mark.parametrize("name", ["records_split", "meta_title", "sentences_split", "mirna_all", "gene_all", "species_votes", "pairs_full", "review_merge", "dedup_merge", "gene_id_join", "whitelist_candidates", "dictionary_apply", "row_style", "statistics_table", "html_table_cells", "gene_resolution", "judge_whitelist_batches", "judge_decisions"])
 def test_sql_counterparts(spark, name):
     con = duckdb.connect()
     for f in os.listdir(SF):
