@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from quillspark.llm.common import bounded_batches
+from quillspark.llm.common import rebatched, ship_package
 
 #: The white space of Unicode, which the pre-tokenizer's \s stands for.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -213,11 +213,11 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     """
     with open(vocabulary, "rb") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())
-    bounded_batches(docs.sparkSession)
+    ship_package(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(file.value)
-        for batch in batches:
+        for batch in rebatched(batches, 1):
             out: list[list] = [[], [], [], [], []]
             for value in batch.column(1):
                 text = value.as_py() or ""

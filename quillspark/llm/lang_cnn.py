@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import bounded_batches
+from quillspark.llm.common import ship_package
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -203,14 +203,14 @@ def language_of(model: ByteCNN, text: Column) -> Column:
 
 def identify_languages(docs: DataFrame, model: ByteCNN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document. One pass, no shuffle."""
-    bounded_batches(docs.sparkSession)
+    ship_package(docs.sparkSession)
     found = docs.select(F.col(id_col).alias("doc_id"), language_of(model, F.col(text_col).cast("string")).alias("found"))
     return found.select("doc_id", (remainder("doc_id") == 1).alias("held_out"), "found.lang_pred", "found.score")
 
 
 def keep_identified(docs: DataFrame, model: ByteCNN, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """Documents whose language is found with a score of ``least`` or more; ``und`` ones and those below go."""
-    bounded_batches(docs.sparkSession)
+    ship_package(docs.sparkSession)
     found = "found"
     while found in docs.columns:
         found += "_"
