@@ -6,85 +6,42 @@ block with the earliest deadline. Shares that add up to one are always schedulab
 after any number of slots a source has had its exact share to within less than one block.
 
 Releases and deadlines are computed from the weights as they are, in whole numbers, so the bound
-holds at every size and for any number of sources. Only blocks that exist are scheduled: the
-driver keeps one block of each source in a heap and hands the slots on in chunks, a small row for
-each block. The rows of a source are numbered without gaps by hash order in parts, cut into
-blocks, and sent to their slots.
+holds at every size and for any number of sources. A block has ``block`` rows, or more where
+that would make more than MOST_BLOCKS blocks: the schedule (one number for each block) has a
+size that does not grow with the table. It is worked out with one block of each source in a heap
+and read back from a file in the shared folder; rows meet it in a join. The rows of a source are
+numbered without gaps by hash order in parts, whose number follows that of the rows.
 
 Sources that run out early leave their slots empty: the others keep their order and proportions
 and everything is kept exactly once. Sources without a weight and null sources come after all
-weighted rows, in hash order. Equal rows are equal and take neighbouring places. An empty table
-gives an empty result; other columns are kept.
+weighted rows, in hash order. Equal rows (in all columns) are counted before they are sent and
+made again afterwards, each with a place of its own, in runs that are spread over tasks; so a row
+that makes up a third of the table crowds no task. Null ids, null and empty texts are values like
+any other; texts of any length are kept whole. An empty table gives an empty result; other
+columns are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, written
+from quillspark.llm.common import durable, expanded, new_path
 
-#: Slots of a repeating schedule (``slots_of``): its weights are rounded to multiples of 1/PERIOD, none to zero. Mixing does not round.
-PERIOD = 1000
-#: Parts into which the numbering of each source is split.
-PARTS = 1024
-#: Blocks whose slots the driver holds at once.
-CHUNK = 1 << 18
+#: Most blocks of a schedule, apart from one more for each source.
+MOST_BLOCKS = 1 << 20
+#: Different rows that are numbered under one part number on average, and the fewest parts.
+PART_ROWS, LEAST_PARTS = 65_536, 16
 #: From this slot on (no real table gets there) blocks only keep their order.
 LAST = 1 << 62
-
-
-def slots_of(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Slots of each source in a period, by largest remainders; at least one for a positive weight."""
-    live = {s: Fraction(w) for s, w in weights.items() if w > 0}
-    if not live or len(live) > period:
-        raise ValueError("weights must name 1 to `period` sources with positive weights")
-    total = sum(live.values())
-    exact = {s: w * period / total for s, w in live.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(live, key=lambda s: (int(exact[s]) - exact[s], s))
-    while (short := period - sum(out.values())) > 0:
-        for s in order[:short]:
-            out[s] += 1
-    while sum(out.values()) > period:
-        out[max(out, key=lambda s: (out[s] - exact[s], s))] -= 1
-    return out
-
-
-def schedule(spark: SparkSession, slots: Mapping[str, int]) -> DataFrame:
-    """source, nth, slot: the slot of each source's nth block in one period (sum of ``slots``).
-
-    One fold over the slots: the state holds each source's count of blocks sent; among released
-    blocks the earliest deadline wins, then the source that comes first by name.
-    """
-    names, period = sorted(slots), sum(slots.values())
-    tasks = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(slots[s]).alias("share")) for i, s in enumerate(names)])
-
-    def step(state: Column, slot: Column) -> Column:
-        count = lambda t: F.element_at(state["sent"], t["id"] + 1)
-        # released: floor(n * period / share) <= slot, i.e. n * period < (slot + 1) * share
-        ready = F.filter(tasks, lambda t: count(t) * period < (slot + 1) * t["share"])
-        due = F.transform(ready, lambda t: F.struct(F.ceil((count(t) + 1) * period / t["share"]).cast("int").alias("due"), t["id"].alias("id")))
-        return F.transform(  # of one element: the choice is made once
-            F.array(F.array_min(due)["id"]),
-            lambda chosen: F.struct(
-                F.transform(state["sent"], lambda n, i: F.when(i == chosen, n + 1).otherwise(n)).alias("sent"),
-                F.concat(state["order"], F.array(chosen)).alias("order"),
-            ),
-        )[0]
-
-    start = F.struct(F.array_repeat(F.lit(0), len(names)).alias("sent"), F.array().cast("array<int>").alias("order"))
-    order = F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, step)["order"]
-    rows = spark.range(1).select(F.posexplode(order).alias("slot", "id"))
-    named = rows.withColumn("source", F.element_at(F.array(*[F.lit(s) for s in names]), F.col("id") + 1))
-    nth = F.row_number().over(Window.partitionBy("source").orderBy("slot")) - 1
-    return named.select("source", nth.alias("nth"), "slot")
+#: Bytes of the schedule that are handed to the file system at once.
+PIECE = 1 << 20
 
 
 def block_slots(weights: Mapping[str, float], blocks: Mapping[str, int]) -> Iterator[tuple[str, int, int]]:
@@ -111,59 +68,64 @@ def block_slots(weights: Mapping[str, float], blocks: Mapping[str, int]) -> Iter
 
 
 def slot_table(spark: SparkSession, weights: Mapping[str, float], blocks: Mapping[str, int]) -> DataFrame:
-    """source, nth, slot of every block; more than CHUNK of them go to the shared folder."""
-    schema = pa.schema([("source", pa.string()), ("nth", pa.int64()), ("slot", pa.int64())])
-    made, held = [], []
-
-    def chunk() -> DataFrame:
-        columns = zip(*held, strict=True) if held else [(), (), ()]
-        return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
-
-    for row in block_slots(weights, blocks):
-        held.append(row)
-        if len(held) == CHUNK:
-            made.append(written(chunk()))
-            held.clear()
-    out = chunk()
-    for more in made:
-        out = out.unionByName(more)
-    return out
+    """source, nth, slot of every block, read from a file of one line for each source."""
+    slots: dict[str, list[int]] = {}
+    for source, _, slot in block_slots(weights, blocks):
+        slots.setdefault(source, []).append(slot)
+    text = "".join(json.dumps({"source": s, "slots": x}) + "\n" for s, x in slots.items()).encode()
+    path = f"{new_path(spark, 'schedule')}/slots.json"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(jvm_path)
+    for at in range(0, len(text), PIECE):
+        out.write(bytearray(text[at : at + PIECE]))
+    out.close()
+    return spark.read.schema("source string, slots array<long>").json(path).select("source", F.posexplode("slots").alias("nth", "slot"))
+
+
+def row_values(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Columns whose hash tells rows apart: hashes skip nulls, and know no maps."""
+    simple = lambda c: not dict(df.dtypes)[c].startswith(("map", "array", "struct", "variant"))
+    value = lambda c: F.col(c) if simple(c) else F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+    return [x for c in columns for x in (value(c), F.col(c).isNull())]
 
 
 def _placed(docs: DataFrame, weights: Mapping[str, float], block: int, source_col: str, key_cols: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
     """Rows under names of their own (no name can clash inside) with slot and place, and those names by column."""
     own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    marked = docs.select(
-        *[F.col(c).alias(a) for c, a in own.items()], F.col(source_col).cast("string").alias("m_source"), F.xxhash64(*key_cols).alias("m_key")
-    )
-    if not any(w > 0 for w in weights.values()):
-        return marked.withColumn("p_slot", F.lit(None).cast("long")).withColumn("p_place", F.col("m_key")), own
-    spark = docs.sparkSession
-    named = pa.table({"source": pa.array(sorted(s for s, w in weights.items() if w > 0), pa.string())})
-    keyed = (
-        marked.groupBy(F.col("m_source").alias("source"), F.col("m_key").alias("key"))
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .join(F.broadcast(spark.createDataFrame(named)), "source")
-        .withColumn("part", F.pmod("key", F.lit(PARTS)).cast("int"))
-    )
-    keyed = durable(keyed)
-    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = keyed.groupBy("source", "part").agg(F.sum("copies").alias("size"))
-    blocks = {r.source: -(-r.n // block) for r in sizes.groupBy("source").agg(F.sum("size").alias("n")).collect()}
-    offsets = sizes.select("source", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    running = Window.partitionBy("source", "part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = keyed.withColumn("ahead", F.coalesce(F.sum("copies").over(running), F.lit(0))).join(offsets, ["source", "part"])
-    numbered = numbered.withColumn("n", F.col("offset") + F.col("ahead")).withColumn("nth", F.expr(f"n div {block}"))
-    placed = numbered.join(slot_table(spark, weights, blocks), ["source", "nth"])
-    placed = placed.select(F.col("source").alias("p_source"), F.col("key").alias("p_key"), F.col("slot").alias("p_slot"), F.expr(f"n % {block}").alias("p_place"))
-    joined = marked.join(placed, (F.col("m_key") == F.col("p_key")) & (F.col("m_source") == F.col("p_source")), "left")
-    return joined.withColumn("p_place", F.coalesce("p_place", "m_key")), own
+    renamed = docs.select(*[F.col(c).alias(a) for c, a in own.items()])
+    values = row_values(renamed, list(own.values()))
+    marked = renamed.select(
+        "*", F.col(own[source_col]).cast("string").alias("m_source"), F.xxhash64(*[own[c] for c in key_cols]).alias("m_key"),
+        F.xxhash64(*values).alias("m_row"), F.xxhash64(F.lit(1), *values).alias("m_proof"),
+    )
+    keyed = durable(marked.groupBy("m_source", "m_key", "m_row", "m_proof").agg(F.count(F.lit(1)).alias("copies")))
+    counts = keyed.groupBy("m_source").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("different")).collect()  # a small row for each source
+    size = max(block, -(-sum(r.n for r in counts) // MOST_BLOCKS))
+    blocks = {r.m_source: -(-r.n // size) for r in counts if r.m_source is not None and weights.get(r.m_source, 0) > 0}
+    keyed = keyed.withColumn("part", F.pmod("m_key", F.lit(max(LEAST_PARTS, -(-sum(r.different for r in counts) // PART_ROWS)))))
+    before = Window.partitionBy("o_source").orderBy("o_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = keyed.groupBy(F.col("m_source").alias("o_source"), F.col("part").alias("o_part")).agg(F.sum("copies").alias("size"))
+    offsets = sizes.select("o_source", "o_part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    running = Window.partitionBy("m_source", "part").orderBy("m_key", "m_row", "m_proof").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = keyed.withColumn("ahead", F.coalesce(F.sum("copies").over(running), F.lit(0)))
+    numbered = ahead.join(offsets, F.col("m_source").eqNullSafe(F.col("o_source")) & (F.col("part") == F.col("o_part")))
+    first = numbered.select(F.col("m_row").alias("p_row"), F.col("m_proof").alias("p_proof"), (F.col("offset") + F.col("ahead")).alias("p_first"))
+    # equal rows fall together before they are sent; what is left meets its number, and is made again
+    once = marked.groupBy("m_row", "m_proof").agg(*[F.first(c).alias(c) for c in (*own.values(), "m_source")], F.count(F.lit(1)).alias("copies"))
+    joined = once.join(first, (F.col("m_row") == F.col("p_row")) & (F.col("m_proof") == F.col("p_proof")))
+    rows = expanded(joined, "copies", "p_at", ["m_row"]).withColumn("p_place", F.col("p_first") + F.col("p_at"))
+    rows = rows.withColumn("p_nth", F.expr(f"p_place div {size}"))
+    if not blocks:
+        return rows.withColumn("p_slot", F.lit(None).cast("long")), own
+    slots = slot_table(docs.sparkSession, weights, blocks).select(F.col("source").alias("s_source"), F.col("nth").cast("long").alias("s_nth"), F.col("slot").alias("p_slot"))
+    slots = F.broadcast(slots) if sum(blocks.values()) <= 2 * MOST_BLOCKS else slots
+    return rows.join(slots, (F.col("m_source") == F.col("s_source")) & (F.col("p_nth") == F.col("s_nth")), "left"), own
 
 
 def mixed_places(
     docs: DataFrame, weights: Mapping[str, float], block: int = 64, source_col: str = "source", key_cols: Sequence[str] = ("doc_id", "text")
 ) -> DataFrame:
-    """The columns of ``docs`` with _slot (of its source's block; null without a weight) and _place (order within the slot).
+    """The columns of ``docs`` with _slot (of its source's block; null without a weight) and _place (the row's number in its source, which orders a slot).
 
     The hash of ``key_cols`` gives each source an order that is random and independent of files. Columns of ``docs`` named
     _slot or _place give way.
