@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import bounded_batches, durable, utf8_texts
+from quillspark.llm.common import durable, even_join, rebatched, ship_package, utf8_texts
 
 SEED = 42
 WIDTH = 8
@@ -80,10 +80,10 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 def with_fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and fp (the fingerprint's bits as a signed long) of each row. One pass, no shuffle."""
-    bounded_batches(docs.sparkSession)
+    ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in rebatched(batches, 1):
             fp = fingerprints(utf8_texts(batch.column(1)), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
@@ -139,8 +139,9 @@ def index_links(distinct: DataFrame, bits: int = 4, positions: int = 3, block: i
     postings = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("k", "bytes"))
     lists = postings.groupBy("k", "bytes").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     lists = lists.withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
+    ship_package(distinct.sparkSession)
     dealt = (
-        postings.join(lists, ["k", "bytes"])
+        even_join(postings, lists, ["k", "bytes"], "n", distinct.count() * len(masks), F.xxhash64("fp"))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("k", "bytes", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp")
@@ -183,41 +184,37 @@ def posting_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 def components(links: DataFrame) -> DataFrame:
     """node, root (the least node connected) for every node of u-v links, by alternating stars.
 
-    Each round is checkpointed; the number of rounds grows with the logarithm of the longest chain.
+    Each round is checkpointed; the number of rounds grows with the logarithm of the longest chain. A node of many links is spread
+    over several tasks where its links meet it.
     """
     edges = durable(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
+    before, total = None, 2 * edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = even_join(both, least, ["u"], "n", total, F.xxhash64("v")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # every u is now above its v: link the neighbours below it, and itself, to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        stars = even_join(large, low, ["u"], "n", total, F.xxhash64("v"))
+        small = stars.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         edges = durable(small.filter("u <> v").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+        before, total = now, 2 * now[0]
 
 
 def near_duplicates(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the least id among the documents connected by links."""
-    marked = durable(with_fingerprints(docs, shingle, id_col, text_col))
-    distinct = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    rooted = components(index_links(distinct.select("fp"), bits))
-    rooted = distinct.join(rooted, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    heads = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(heads, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
+    """doc_id, fingerprint (16 hex digits), component_id: the least id among the documents connected by links.
 
-def one_per_group(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the least id of each group, whole and once, with the columns of ``docs``.
-
-    Rows without an id cannot be named in a group and stay.
+    Fingerprints of many documents and groups of many fingerprints are spread over several tasks.
     """
-    groups = near_duplicates(docs, bits, shingle, id_col, text_col)
-    heads = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(heads, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    marked = durable(with_fingerprints(docs, shingle, id_col, text_col))
+    distinct = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
+    total = distinct.agg(F.count(F.lit(1)).alias("fps"), F.coalesce(F.sum("n"), F.lit(0)).alias("docs")).first()
+    rooted = components(index_links(distinct.select("fp"), bits))
+    rooted = distinct.join(rooted, F.col("fp") == F.col("node"), "left").select("fp", "n", "least", F.coalesce("root", "fp").alias("root"))
+    heads = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    named = even_join(rooted, heads, ["root"], "members", total.fps, F.xxhash64("fp")).select("fp", "n", "component_id")
+    found = even_join(marked, named, ["fp"], "n", total.docs, F.monotonically_increasing_id())
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
