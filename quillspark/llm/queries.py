@@ -135,9 +135,9 @@ WITH cut AS (
   FROM pages),
 held AS (
   SELECT page_id, url, host, path, list_sort(list_distinct(
-    list_transform(list_reverse(list_filter(string_split(host, '.'), lambda x: x <> ''))[1:4], lambda x: 'h:' || x)
-    || list_transform(list_filter(regexp_split_to_array(path, '[/.]'), lambda x: x <> '')[1:4], lambda x: 'p:' || x)
-    || list_transform(list_filter(string_split(args, '&'), lambda x: x <> '')[1:4], lambda x: 'q:' || x)
+    list_transform(list_reverse(list_filter(string_split(host, '.'), lambda x: x <> '')), lambda x: 'h:' || x)
+    || list_transform(list_filter(regexp_split_to_array(path, '[/.]'), lambda x: x <> ''), lambda x: 'p:' || x)
+    || list_transform(list_filter(string_split(args, '&'), lambda x: x <> ''), lambda x: 'q:' || x)
     || list_transform(list_filter([frag], lambda x: x <> ''), lambda x: 'f:' || x))) AS items
   FROM cut),
 marks AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),

@@ -10,7 +10,8 @@ is posted under its rarest item and compared in full only with URLs that hold th
 
 A listed rule overrides what was mined. Null URLs and those without ``://`` have an empty host and
 path and no items, so they are allowed. Pages without a label are not learned from; a page with
-several labels is bad if any of them is. Without bad labels nothing is mined. Repeated rows repeat
+several labels is bad if any of them is. A URL that stands in many rows, and null ones, are spread over several tasks. Very long
+URLs and keys are read whole. Columns other than page_id and url, doc_id, quality and toxic are not looked at. Without bad labels nothing is mined. Repeated rows repeat
 in the result; an empty table gives an empty result.
 """
 
@@ -23,11 +24,13 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable
+from quillspark.llm.common import durable, even_join
 
 BLOCK = "=block"
 #: A mined rule needs this share of the labelled pages, this many of them, and this share of bad ones among those that it matches.
 SUPPORT, COUNT, CONFIDENCE = 0.005, 5, 0.6
+#: Most rules that are broadcast to the pages; beyond, they are joined by a shuffle.
+MOST_BROADCAST = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
 
@@ -58,7 +61,7 @@ def items_of(url: Column) -> Column:
 def listed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     """The longest of (verdict, host, path prefix) rules that fits: a struct (length, rule, verdict), or null.
 
-    A rule fits its host and all subdomains where the path starts with the rule's.
+    Without any listed rules it is null. A rule fits its host and all subdomains where the path starts with the rule's.
     """
     fits = [
         F.when(
@@ -67,7 +70,7 @@ def listed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
         )
         for verdict, h, p in rules
     ]
-    return F.array_max(F.array(*fits))
+    return F.array_max(F.array(*fits).cast("array<struct<length:int,rule:string,verdict:string>>"))
 
 
 def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, count: int = COUNT, confidence: float = CONFIDENCE) -> DataFrame:
@@ -106,17 +109,19 @@ def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, c
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """url, confidence, matched (number of rules) of the distinct urls that a mined rule blocks."""
-    held = urls.filter(F.col("url").isNotNull()).select("url").distinct().withColumn("own", items_of(F.col("url")))
-    met = held.select("url", "own", F.explode("own").alias("key")).join(rules, "key")
-    return met.filter(F.size(F.array_except("items", "own")) == 0).groupBy("url").agg(F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("matched"))
+    """url, rows (of ``urls``), confidence, matched (number of rules) of the distinct urls that a mined rule blocks."""
+    held = urls.filter(F.col("url").isNotNull()).groupBy("url").agg(F.count(F.lit(1)).alias("rows")).withColumn("own", items_of(F.col("url")))
+    index = F.broadcast(rules) if rules.count() <= MOST_BROADCAST else rules
+    met = held.select("url", "rows", "own", F.explode("own").alias("key")).join(index, "key")
+    fit = met.filter(F.size(F.array_except("items", "own")) == 0)
+    return fit.groupBy("url", "rows").agg(F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("matched"))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, listed: Sequence[tuple[str, str, str]], **options: float) -> DataFrame:
     """page_id, host, path, rule (listed), verdict, confidence (of the best mined rule, if any) for every page."""
     own = pages.select("page_id", "url")
-    blocked = blocked_urls(own, mined_rules(own, labels, **options))
-    found = own.join(blocked, "url", "left").select(
+    blocked = blocked_urls(own, mined_rules(own, labels, **options)).select("url", "rows", "confidence")
+    found = even_join(own, blocked, ["url"], "rows", own.count(), F.monotonically_increasing_id(), "left").select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "confidence"
     )
     found = found.withColumn("listed", listed_rule(F.col("host"), F.col("path"), listed))
