@@ -10,10 +10,13 @@ anew in every segment.
 Documents are dealt into groups by a hash of id and text, the groups' number following the
 number of rows; a group is packed in windows of at most WINDOW_TOKENS ids, which bounds the
 memory of a task whatever the group holds. Packing is a function of content and row count
-alone: neither files nor partitions matter.
+alone: neither files nor partitions matter, except which of many equal rows share a group (rows
+that repeat more often than a group is long are dealt among several groups).
 
-Null and empty texts give a single end mark. Texts of any length are packed whole. Repeated
-rows are packed repeatedly. An empty table gives an empty result.
+Ids may be of any type; null ids are kept. Null and empty texts give a single end mark. Texts of
+any length are packed whole. Repeated rows are packed repeatedly. Documents of equal length are
+placed in the order of their hash. Columns other than id and text are not looked at. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.bpe import PRETOKEN
-from quillspark.llm.common import bounded_batches
+from quillspark.llm.common import MOST_HOT, rebatched, ship_package
 
 #: Documents of a group on average, and the most ids that are packed together.
 GROUP_ROWS = 1024
 WINDOW_TOKENS = 4 << 20
 #: Partitions follow the number of groups up to here; beyond, a partition holds several groups, one after the other.
 MOST_PARTITIONS = 50_000
-MATRIX_SCHEMA = "grp long, window int, row int, ids binary, n_tokens int, cu_seqlens array<int>, positions binary, doc_ids array<long>, pieces array<int>"
+#: The columns of the packed matrix, for the ids' type.
+MATRIX_SCHEMA = "grp long, window int, row int, ids binary, n_tokens int, cu_seqlens array<int>, positions binary, doc_ids array<{}>, pieces array<int>"
 
 
 class RoomTree:
@@ -102,7 +107,7 @@ def pieces_of(n: int, size: int) -> list[tuple[int, int]]:
     return [(a, min(a + size, n)) for a in range(0, n, size)]
 
 
-def pack_matrix(docs: list[tuple[int | None, np.ndarray]], size: int, pad: int) -> Iterator[tuple]:
+def pack_matrix(docs: list[tuple[Any, np.ndarray]], size: int, pad: int) -> Iterator[tuple]:
     """ids, n_tokens, cu_seqlens, positions, doc_ids, pieces of each packed row."""
     spans = [(d, k, a, b) for d, (_, ids) in enumerate(docs) for k, (a, b) in enumerate(pieces_of(len(ids), size))]
     lengths = np.array([b - a for _, _, a, b in spans], dtype=np.int64)
@@ -124,7 +129,20 @@ def tokenizer_of(ranks: bytes) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=PRETOKEN, mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs}, special_tokens={})
 
 
-def tokenized(docs: DataFrame, vocabulary: str, end: int, id_col: str, text_col: str) -> DataFrame:
+def spread_copies(docs: DataFrame, total: int, id_col: str, text_col: str) -> DataFrame:
+    """id, text and key (a hash that names a row's group), with several keys for rows that repeat very often.
+
+    At most MOST_HOT rows stand out so, and only these are broadcast.
+    """
+    bound = max(GROUP_ROWS, -(-total // MOST_HOT))
+    key = F.xxhash64(id_col, text_col).alias("key")
+    hot = docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bound).select("key", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("keys"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), key, F.col(text_col).cast("string").alias("text")).join(F.broadcast(hot), "key", "left")
+    salt = F.pmod(F.monotonically_increasing_id(), F.col("keys"))
+    return rows.select("doc_id", F.when(F.col("keys").isNull(), F.col("key")).otherwise(F.xxhash64("key", salt)).alias("key"), "text")
+
+
+def tokenized(docs: DataFrame, vocabulary: str, end: int) -> DataFrame:
     """doc_id, key, ids (little-endian unsigned 32-bit, with the end mark) of every whole text; strings of special tokens are ordinary text."""
     with open(vocabulary, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -132,52 +150,54 @@ def tokenized(docs: DataFrame, vocabulary: str, end: int, id_col: str, text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer_of(ranks.value).encode_to_numpy
-        for batch in batches:
+        for batch in rebatched(batches, 2):
             ids = [encode(x.as_py() or "", disallowed_special=()).astype("<u4", copy=False).tobytes() + mark for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "key", "ids"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, key long, ids binary")
+    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, key long, ids binary")
 
 
 def packed_rows(docs: DataFrame, vocabulary: str, size: int = 2048, end: int = 50256, pad: int = 50256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The packed matrix (MATRIX_SCHEMA): one row for each row of ``size`` ids. ``vocabulary``: a ``tiktoken`` rank file."""
-    bounded_batches(docs.sparkSession)
-    groups = max(1, -(-docs.count() // GROUP_ROWS))
-    dealt = tokenized(docs, vocabulary, end, id_col, text_col).withColumn("grp", F.pmod("key", F.lit(groups)))
+    """The packed matrix (MATRIX_SCHEMA, doc_ids of the ids' type): one row for each row of ``size`` ids. ``vocabulary``: a ``tiktoken`` rank file."""
+    ship_package(docs.sparkSession)
+    total = docs.count()
+    groups = max(1, -(-total // GROUP_ROWS))
+    dealt = tokenized(spread_copies(docs, total, id_col, text_col), vocabulary, end).withColumn("grp", F.pmod("key", F.lit(groups)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int | None, np.ndarray]] = []
+        held: list[tuple[Any, np.ndarray]] = []
+        kind: pa.DataType = pa.null()
         group, window, tokens = None, 0, 0
         for batch in batches:
+            kind = batch.column(1).type
             for g, doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if held and (g != group or tokens >= WINDOW_TOKENS):
-                    yield from matrix_batches(group, window, held)
+                    yield from matrix_batches(group, window, held, kind)
                     window, held, tokens = (window + 1 if g == group else 0), [], 0
                 group = g
                 held.append((doc_id, np.frombuffer(ids.as_buffer(), dtype="<u4").copy()))
                 tokens += len(held[-1][1])
         if held:
-            yield from matrix_batches(group, window, held)
+            yield from matrix_batches(group, window, held, kind)
 
-    def matrix_batches(group: int, window: int, held: list) -> Iterator[pa.RecordBatch]:
+    def matrix_batches(group: int, window: int, held: list, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for i, packed in enumerate(pack_matrix(held, size, pad)):
             rows.append((group, window, i, *packed))
             if len(rows) == 128:
-                yield matrix_batch(rows)
+                yield matrix_batch(rows, kind)
                 rows = []
         if rows:
-            yield matrix_batch(rows)
+            yield matrix_batch(rows, kind)
 
     sorted_in = dealt.select("grp", "doc_id", "ids", "key").repartition(min(groups, MOST_PARTITIONS), "grp").sortWithinPartitions("grp", "key", "doc_id", "ids")
-    return sorted_in.select("grp", "doc_id", "ids").mapInArrow(run, MATRIX_SCHEMA)
+    return sorted_in.select("grp", "doc_id", "ids").mapInArrow(run, MATRIX_SCHEMA.format(dict(dealt.dtypes)["doc_id"]))
 
 
-def matrix_batch(rows: list[tuple]) -> pa.RecordBatch:
+def matrix_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     kinds = {
         "grp": pa.int64(), "window": pa.int32(), "row": pa.int32(), "ids": pa.binary(), "n_tokens": pa.int32(), "cu_seqlens": pa.list_(pa.int32()),
-        "positions": pa.binary(), "doc_ids": pa.list_(pa.int64()), "pieces": pa.list_(pa.int32()),
+        "positions": pa.binary(), "doc_ids": pa.list_(kind), "pieces": pa.list_(pa.int32()),
     }
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
