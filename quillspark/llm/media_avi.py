@@ -10,8 +10,12 @@ from those around it (mean plus a multiple of the deviation) and passes a floor.
 clips at the file's frame rate.
 
 Null texts count as empty; an empty text gives one frame. Texts of any length are stored whole.
-Equal texts give equal files. An empty table gives an empty result. Bytes that are not such a
-file raise ValueError.
+Equal texts give equal files. Repeated rows repeat in the result. An empty table gives an empty
+result. Columns other than id and text, or id and media, are not looked at.
+
+Index entries may count from the file's start or from its ``movi`` list. Media that cannot be
+read (no AVI file, cut short, broken, or frames of another coding: only lossless grey frames are
+decoded) give one row with a null result and the reason in ``error``; they harm no other row.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillspark.llm.common import bounded_batches, rebatched, utf8_texts
+from quillspark.llm.common import rebatched, ship_package, utf8_texts
 
 SIDE = 24
 FRAME = SIDE * SIDE
@@ -229,7 +233,12 @@ def parse_index(file: bytes) -> tuple[np.ndarray, np.ndarray, float]:
     if movi is None or index is None or not rate:
         raise ValueError("an AVI file without movi, idx1 or a frame rate")
     video = index[index[:, 0] == int.from_bytes(b"00dc", "little")]
-    return video[:, 2].astype(np.int64) + movi + 8, video[:, 3].astype(np.int64), rate
+    starts, lengths = video[:, 2].astype(np.int64), video[:, 3].astype(np.int64)
+    if len(starts) and file[movi + starts[0] : movi + starts[0] + 4] == b"00dc":
+        starts = starts + movi
+    if len(starts) and ((starts + 8 + lengths).max() > len(file) or lengths.min() < 4 or any(file[a : a + 4] != b"00dc" for a in starts.tolist())):
+        raise ValueError("the index points past the frames")
+    return starts + 8, lengths, rate
 
 
 def read_files(files: list[bytes]) -> list[tuple[np.ndarray, float]]:
@@ -261,6 +270,18 @@ def read_files(files: list[bytes]) -> list[tuple[np.ndarray, float]]:
     return out
 
 
+def read_each(files: list[bytes | None]) -> list[tuple[np.ndarray | None, float, str | None]]:
+    """Samples, frame rate and error of each file. Files are decoded together; only if that fails, one by one."""
+    there = [f for f in files if f is not None]
+    try:
+        found = iter([(frames, rate, None) for frames, rate in read_files(there)])
+        return [(None, 0.0, "no media") if f is None else next(found) for f in files]
+    except Exception as error:  # whatever broken bytes lead to, it must stay with its row
+        if len(files) == 1:
+            return [(None, 0.0, f"{type(error).__name__}: {error}")]
+    return [x for f in files for x in read_each([f])]
+
+
 def histograms(frames: np.ndarray) -> np.ndarray:
     """Counts of samples by brightness, (frames, BINS)."""
     n = len(frames)
@@ -298,7 +319,7 @@ def payload_of(text: bytes) -> np.ndarray:
 
 def encode_avi(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, media: every whole text as an AVI file. One pass, no shuffle."""
-    bounded_batches(docs.sparkSession)
+    ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches, 1, CHUNK):
@@ -311,46 +332,57 @@ def encode_avi(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def media_clips(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """Timed clips of AVI files: doc_id, clip (from 0), start_s, end_s, frames, mean (brightness). Null media give no clip."""
-    bounded_batches(media.sparkSession)
+    """Timed clips of AVI files: doc_id, clip (from 0), start_s, end_s, frames, mean (brightness), error.
+
+    Null media and files without frames give no clip; media that cannot be read give one row with only an error.
+    """
+    ship_package(media.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches, 1, 2 * CHUNK):
             batch = batch.filter(batch.column(1).is_valid())
             rows: list[tuple] = []
-            for row, (frames, rate) in enumerate(read_files(batch.column(1).to_pylist())):
+            for row, (frames, rate, error) in enumerate(read_each(batch.column(1).to_pylist())):
+                if frames is None:
+                    rows.append((row, None, None, None, None, None, error))
+                    continue
                 cuts = shots(histograms(frames), frames[0].size if len(frames) else 1)
-                for k, (a, b) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(frames)], strict=True)):
-                    rows.append((row, k, a / rate, b / rate, b - a, float(frames[a:b].mean())))
-            at, *rest = zip(*rows, strict=True) if rows else ([],) * 6
-            arrays = [batch.column(0).take(pa.array(at, pa.int64()))] + [pa.array(c, t) for c, t in zip(rest, (pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.float64()), strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "clip", "start_s", "end_s", "frames", "mean"])
+                for k, (a, b) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(frames)][: len(cuts)], strict=True)):
+                    rows.append((row, k, a / rate, b / rate, b - a, float(frames[a:b].mean()), None))
+            at, *rest = zip(*rows, strict=True) if rows else ([],) * 7
+            kinds = (pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.string())
+            arrays = [batch.column(0).take(pa.array(at, pa.int64()))] + [pa.array(c, t) for c, t in zip(rest, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "clip", "start_s", "end_s", "frames", "mean", "error"])
 
-    kind = dict(media.dtypes)[id_col]
-    return media.select(media[id_col].alias("doc_id"), media[media_col].alias("media")).mapInArrow(run, f"doc_id {kind}, clip int, start_s double, end_s double, frames int, mean double")
+    schema = f"doc_id {dict(media.dtypes)[id_col]}, clip int, start_s double, end_s double, frames int, mean double, error string"
+    return media.select(media[id_col].alias("doc_id"), media[media_col].alias("media")).mapInArrow(run, schema)
 
 
 def media_digests(media: DataFrame) -> DataFrame:
     """What the stored files hold, read back: digests of payload and file, and the clips as a feature string.
 
-    Takes the rows of ``encode_avi``. ``feature``: frames, frames per second, clips as start-end frames.
+    Takes the rows of ``encode_avi``. ``feature``: frames, frames per second, clips as start-end frames. ``error``: null, or why the
+    media could not be read; then only the columns about the file itself are filled.
     """
-    bounded_batches(media.sparkSession)
+    ship_package(media.sparkSession)
+
+    def digests(file: bytes | None, frames: np.ndarray | None, rate: float, error: str | None) -> tuple:
+        stored = (len(file), hashlib.sha256(file).hexdigest()) if file is not None else (None, None)
+        if frames is None:
+            return None, None, None, *stored, None, None, error
+        payload = frames.tobytes()
+        cuts = shots(histograms(frames), FRAME).tolist()
+        clips = ",".join(f"{a}-{b}" for a, b in zip(cuts, [*cuts[1:], len(frames)][: len(cuts)], strict=True))
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored, f"{len(frames)}f@{rate:g}:{clips}", len(cuts), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches, 2, 2 * CHUNK):
             files = batch.column(2).to_pylist()
-            out: list[list] = [[] for _ in range(7)]
-            for file, (frames, rate) in zip(files, read_files(files), strict=True):
-                payload = frames.tobytes()
-                cuts = shots(histograms(frames), FRAME).tolist()
-                clips = ",".join(f"{a}-{b}" for a, b in zip(cuts, [*cuts[1:], len(frames)], strict=True))
-                values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), f"{len(frames)}f@{rate:g}:{clips}", len(cuts))
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32())
-            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_clips"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, out, kinds)], names=["doc_id", "n_bytes", *names])
-
-    kind = dict(media.dtypes)["doc_id"]
-    return media.mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_clips int")
+            rows = [digests(file, *found) for file, found in zip(files, read_each(files), strict=True)]
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string())
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_clips", "error"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "n_bytes", *names])
+
+    schema = f"doc_id {dict(media.dtypes)['doc_id']}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_clips int, error string"
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
