@@ -6,7 +6,8 @@ the weights, so a new shard only takes records into itself: about ``1/(n+1)`` of
 move, none between old shards.
 
 Null keys hash like any other value (all go to one shard); an empty table gives an
-empty result; repeated rows share a shard and get different slots.
+empty result; repeated rows share a shard and get different slots. Keys and texts of any length
+count whole. Columns other than key and text are not looked at.
 """
 
 from __future__ import annotations
@@ -16,12 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable
+from quillspark.llm.common import durable, expanded
 
-#: Parts into which the numbering of each shard is split: (shards x parts) groups and offsets.
-SLOT_PARTS = 1024
-#: Repeated rows are expanded again in runs of at most this many.
-RUN = 65_536
+#: Different rows that are numbered in one part of a shard on average.
+PART_ROWS = 65_536
 
 
 def rendezvous_shard(keys: Sequence[Column], weights: Sequence[float]) -> Column:
@@ -48,33 +47,30 @@ def rendezvous_shard(keys: Sequence[Column], weights: Sequence[float]) -> Column
 def number_slots(df: DataFrame, shard: str, slot: str = "slot") -> DataFrame:
     """Number the rows of each shard without gaps from 0.
 
-    All columns of ``df`` together form the order, so the numbering depends on content
-    alone; columns must be groupable. Equal rows are counted before the shuffle, which
-    keeps a key that holds a third of all rows from reaching one task, and a shard's
-    numbering is split into SLOT_PARTS parts whose offsets are at most
-    (shards x SLOT_PARTS) rows.
+    All columns of ``df`` together form the order, so the numbering depends on content and the
+    number of rows alone; columns must be groupable. Equal rows are counted before the shuffle,
+    which keeps a key that holds a third of all rows from reaching one task; they are made again
+    in runs that are spread over tasks. A shard's numbering is split into parts, whose number
+    follows that of the rows.
     """
     columns = df.columns
-    fresh = [c for c in ("_part", "_n", "_hash", "_before", "_offset", "_run", "_at") if c in columns]
+    fresh = [c for c in ("_part", "_n", "_hash", "_before", "_offset", "_at", "e_run") if c in columns]
     if fresh or slot in columns:
         raise ValueError(f"columns {fresh or [slot]} are taken")
     order = F.xxhash64(*[F.col(c) for c in columns])
-    counted = durable(
-        df.withColumn("_hash", order)
-        .groupBy(*columns, "_hash")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_part", F.pmod(F.col("_hash"), F.lit(SLOT_PARTS)).cast("int"))
-    )
+    counted = durable(df.withColumn("_hash", order).groupBy(*columns, "_hash").agg(F.count(F.lit(1)).alias("_n")))
+    size = counted.count()
+    counted = counted.withColumn("_part", F.pmod("_hash", F.lit(max(16, -(-size // PART_ROWS)))))
     parts = Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counted.groupBy(shard, "_part")
         .agg(F.sum("_n").alias("_n"))
-        .select(shard, "_part", F.coalesce(F.sum("_n").over(parts), F.lit(0)).alias("_offset"))
+        .select(F.col(shard).alias("_shard"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(parts), F.lit(0)).alias("_offset"))
     )
     within = Window.partitionBy(shard, "_part").orderBy("_hash", *columns).rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counted.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(F.broadcast(offsets), [shard, "_part"])
-    runs = numbered.withColumn("_run", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(RUN))))
-    rows = runs.withColumn("_at", F.explode(F.sequence(F.col("_run"), F.least(F.col("_run") + RUN, F.col("_n")) - 1)))
+    same = F.col(shard).eqNullSafe(F.col("_shard")) & (F.col("_part") == F.col("_of"))
+    numbered = counted.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(offsets, same)
+    rows = expanded(numbered, "_n", "_at", [shard, "_hash"])
     return rows.select(*columns, (F.col("_offset") + F.col("_before") + F.col("_at")).alias(slot))
 
 
