@@ -48,13 +48,14 @@ def rebatched(batches: Iterator[pa.RecordBatch], column: int, most: int = BATCH_
             yield batch.slice(start)
 
 
-def even_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, total: int, spread: Column, how: str = "inner") -> DataFrame:
+def even_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, total: int, spread: Column, how: str = "inner", grows: bool = False) -> DataFrame:
     """``left`` joined with ``right`` (one row for each key) such that no task gets a whole hot key.
 
     ``rows`` is the column of ``right`` that says how many rows of ``left`` have the key, ``total`` the number of rows of ``left``
     (an upper bound will do). Keys of many rows get several salts; they are at most MOST_HOT and are broadcast to tell rows of
     ``left`` of their salts, which ``spread`` (any integer that differs between rows) deals out. Rows with a null key match nothing
-    and are dealt out likewise. ``how``: inner or left.
+    and are dealt out likewise. ``how``: inner or left. ``grows`` says that ``right`` grows with the input: then both sides are
+    sorted and merged at every size, where a small one would be broadcast instead.
     """
     unit = max(UNIT, -(-total // MOST_HOT))
     sized = right.withColumn("e_salts", F.greatest(F.ceil(F.col(rows) / F.lit(unit)), F.lit(1)).cast("int"))
@@ -63,7 +64,7 @@ def even_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str,
     salts = F.when(lone, MOST_HOT).otherwise(F.coalesce("e_salts", F.lit(1)))
     dealt = left.join(F.broadcast(hot), list(keys), "left").withColumn("e_salt", F.pmod(spread, salts).cast("int")).drop("e_salts")
     copies = sized.withColumn("e_salt", F.explode(F.sequence(F.lit(0), F.col("e_salts") - 1))).drop("e_salts")
-    return dealt.join(copies, [*keys, "e_salt"], how).drop("e_salt")
+    return dealt.join(copies.hint("merge") if grows else copies, [*keys, "e_salt"], how).drop("e_salt")
 
 
 def expanded(df: DataFrame, copies: str, nth: str, keys: Sequence[str]) -> DataFrame:

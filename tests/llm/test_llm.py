@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quillspark.llm import bpe, lang_cnn, line_templates, media_avi, mixing, near_copies, packing, queries, sharding, simhash, topk, url_rules
+from quillspark.llm import bpe, common, lang_cnn, line_templates, media_avi, mixing, near_copies, packing, queries, sharding, simhash, topk, url_rules
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, leaf string, slot int, found int, _slot int, _dropped int"
@@ -48,6 +49,26 @@ def real(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
+# --- helpers
+
+
+def test_even_join_equals_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "UNIT", 4)
+    monkeypatch.setattr(common, "MOST_HOT", 8)
+    left = spark.createDataFrame([(1 if i % 3 == 0 else None if i % 7 == 0 else i % 20, i % 2, i) for i in range(300)], "k long, j int, v long")
+    right = left.filter("k <> 5").groupBy("k", "j").count()
+    for how in ("inner", "left"):
+        got = common.even_join(left, right, ["k", "j"], "count", 300, F.monotonically_increasing_id(), how)
+        assert sorted(map(str, got.select("k", "j", "v", "count").collect())) == sorted(map(str, left.join(right, ["k", "j"], how).select("k", "j", "v", "count").collect()))
+    assert common.even_join(left.limit(0), right, ["k", "j"], "count", 0, F.col("v"), "left").count() == 0
+
+
+def test_expanded(spark, monkeypatch):
+    monkeypatch.setattr(common, "RUN", 3)
+    frame = spark.createDataFrame([("a", 1), ("b", 3), ("c", 10)], "x string, n long")
+    assert sorted((r.x, r.i) for r in common.expanded(frame, "n", "i", ["x"]).collect()) == [("a", 0), *(("b", i) for i in range(3)), *(("c", i) for i in range(10))]
+
+
 # --- 1 media
 
 
@@ -72,9 +93,101 @@ def test_media_query(hard, empty):
     for r in out:
         payloads = {t.ljust(max(576, -(-len(t) // 576) * 576), b"\xff") for t in texts[r.doc_id]}
         assert (r.payload_sha256, r.tail_crc32, r.payload_bytes) in {(hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(p)) for p in payloads}
+        (text,) = [t for t in texts[r.doc_id] if len(t) == r.n_bytes] if len({len(t) for t in texts[r.doc_id]}) == len(texts[r.doc_id]) else [None]
+        if text is not None:
+            (file,) = media_avi.write_files([media_avi.payload_of(text)])
+            counts = np.stack([np.bincount(f // 8, minlength=32) for f in np.frombuffer(text.ljust(r.payload_bytes, b"\xff"), np.uint8).reshape(-1, 576)])
+            cuts = plain_shots(counts)
+            clips = ",".join(f"{a}-{b}" for a, b in zip(cuts, [*cuts[1:], len(counts)]))
+            assert (r.media_bytes, r.media_sha256, r.feature, r.n_clips, r.error) == (len(file), hashlib.sha256(file).hexdigest(), f"{len(counts)}f@25:{clips}", len(cuts), None)
     assert media_avi.media_digests(media_avi.encode_avi(empty)).count() == 0
 
 
+def plain_shots(counts):
+    """Cuts by the rule as it is written, one difference after the other."""
+    d = [sum(abs(int(a) - int(b)) for a, b in zip(x, y)) / 1152 for x, y in zip(counts, counts[1:])]
+    cuts = [0]
+    for i, x in enumerate(d):
+        near = d[max(i - 8, 0) : i] + d[i + 1 : i + 9]
+        mean = sum(near) / max(len(near), 1)
+        spread = math.sqrt(max(sum(v * v for v in near) / max(len(near), 1) - mean * mean, 0))
+        if x >= 0.2 and x > mean + 2 * spread:
+            cuts.append(i + 1)
+    return cuts
+
+
+def plain_frames(file):
+    """A second decoder, bit by bit: chunks in file order, tables from the frame itself, samples from the left (the first of a row from above)."""
+    at, frames = 12, []
+
+    def frame(data):
+        i, codes, shape = 2, {}, None
+        while True:
+            marker, size = data[i + 1], int.from_bytes(data[i + 2 : i + 4], "big")
+            body = data[i + 4 : i + 2 + size]
+            if marker == 0xC4:
+                code, place = 0, 17
+                for n in range(16):
+                    for _ in range(body[1 + n]):
+                        codes[f"{code:0{n + 1}b}"] = body[place]
+                        code, place = code + 1, place + 1
+                    code <<= 1
+            elif marker == 0xC3:
+                shape = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big")
+            i += 2 + size
+            if marker == 0xDA:
+                break
+        bits = "".join(f"{b:08b}" for b in data[i:].split(b"\xff\xd9")[0].replace(b"\xff\x00", b"\xff"))
+        at, rows = 0, []
+        for y in range(shape[0]):
+            row = []
+            for x in range(shape[1]):
+                end = at + 1
+                while bits[at:end] not in codes:
+                    end += 1
+                n = codes[bits[at:end]]
+                extra, at = bits[end : end + n], end + n
+                step = 0 if not n else int(extra, 2) if extra[0] == "1" else int(extra, 2) - (1 << n) + 1
+                row.append(((row[-1] if x else rows[-1][0] if y else 128) + step) % 256)
+            rows.append(row)
+        return bytes(v for r in rows for v in r)
+
+    while at < len(file):
+        name, size = file[at : at + 4], int.from_bytes(file[at + 4 : at + 8], "little")
+        if name == b"LIST" and file[at + 8 : at + 12] == b"movi":
+            k = at + 12
+            while k < at + 8 + size:
+                n = int.from_bytes(file[k + 4 : k + 8], "little")
+                frames.append(frame(file[k + 8 : k + 8 + n]))
+                k += 8 + n + (n & 1)
+        at += 8 + size + (size & 1)
+    return b"".join(frames)
+
+
+def test_media_against_a_second_decoder():
+    rng = random.Random(8)
+    for text in (b"", b"Plain text. " * 120, bytes(rng.randrange(256) for _ in range(1500)), "漢字 and ä".encode() * 40):
+        payload = media_avi.payload_of(text)
+        assert plain_frames(media_avi.write_files([payload])[0]) == payload.tobytes()
+
+
+def test_broken_media_stay_with_their_row(spark):
+    good = media_avi.write_files([media_avi.payload_of(b"some text " * 300)])[0]
+    at = good.index(b"idx1") + 8
+    index = np.frombuffer(good[at:], "<u4").reshape(-1, 4).copy()
+    index[:, 2] += good.index(b"movi")  # offsets from the file's start
+    absolute, past = good[:at] + index.tobytes(), good[:at] + (index + np.array([0, 0, 10**6, 0], np.uint32)).tobytes()
+    frame = good.index(b"\xff\xd8\xff")
+    baseline = good[: frame + 2] + good[frame + 2 :].replace(b"\xff\xc3", b"\xff\xc0")
+    media = [good, None, b"", b"garbage", b"RIFF\x00\x00\x00\x00AVI ", good[:500], absolute, past, baseline, good[: frame + 40] + bytes(60) + good[frame + 100 :], good]
+    frame = spark.createDataFrame([(i, len(m or b""), m) for i, m in enumerate(media)], "doc_id long, n_bytes long, media binary")
+    out = {r.doc_id: r for r in media_avi.media_digests(frame).collect()}
+    assert len(out) == len(media) and {i for i, r in out.items() if r.error is None} >= {0, 6, 10} and out[0].payload_sha256 == out[6].payload_sha256 == out[10].payload_sha256
+    assert all(out[i].error is not None and out[i].payload_sha256 is None for i in (1, 2, 3, 4, 5, 7, 8))
+    clips = media_avi.media_clips(frame).collect()
+    assert {r.doc_id for r in clips if r.error} >= {2, 3, 4, 5, 7, 8} and all(r.clip is None for r in clips if r.error) and {r.doc_id for r in clips if r.clip == 0} >= {0, 6, 10}
+
+
 def test_shots(hard):
     dark, light = np.full((20, 24, 24), 10, np.uint8), np.full((20, 24, 24), 200, np.uint8)
     assert media_avi.shots(media_avi.histograms(np.concatenate((dark, light, dark))), 576).tolist() == [0, 20, 40]
@@ -88,42 +201,67 @@ def test_shots(hard):
 # --- 2 mixing
 
 
-def test_schedule_lag(spark):
-    slots = mixing.slots_of({"a": 5, "b": 3, "c": 1.5, "d": 0.5, "none": 0}, 40)
-    sent = Counter()
-    for t, r in enumerate(mixing.schedule(spark, slots).orderBy("slot").collect()):
-        assert (r.slot, r.nth) == (t, sent[r.source])
-        sent[r.source] += 1
-        assert all(abs(sent[s] - slots[s] * (t + 1) / 40) < 1 for s in slots)
-    assert sent == slots and sum(mixing.slots_of({str(i): 1e-9 if i else 1 for i in range(30)}, 100).values()) == 100
+def brute_schedule(weights, blocks):
+    """Slot by slot: of the blocks released by now, the one that is due first."""
+    whole = sum(map(Fraction, weights.values()))
+    share, sent, out, t = {s: Fraction(w) / whole for s, w in weights.items() if w > 0}, Counter(), {}, 0
+    while any(sent[s] < blocks.get(s, 0) for s in share):
+        ready = [(math.ceil((sent[s] + 1) / w), s) for s, w in share.items() if sent[s] < blocks.get(s, 0) and math.floor(sent[s] / w) <= t]
+        if ready:
+            s = min(ready)[1]
+            out[s, sent[s]] = t
+            sent[s] += 1
+        t += 1
+    return out
 
 
 def test_mixed_places(real, hard, empty):
     weights = mixing.measured_weights(real)
     out = mixing.mixed_places(real, weights, block=4).collect()
-    slots = mixing.slots_of(weights)
-    times = {s: [] for s in slots}  # brute-force earliest deadline first
-    for t in range(1000):
-        ready = [(math.ceil((len(times[s]) + 1) * 1000 / slots[s]), s) for s in sorted(slots) if len(times[s]) * 1000 // slots[s] <= t]
-        times[min(ready)[1]].append(t)
     by_source = defaultdict(list)
     for r in out:
         by_source[r.source].append((r._slot, r._place))
+    want = brute_schedule(weights, {s: -(-len(x) // 4) for s, x in by_source.items()})
     assert len(out) == real.count()
     for s, got in by_source.items():
-        want = [(times[s][b % slots[s]] + b // slots[s] * 1000, n) for i in range(len(got)) for b, n in [divmod(i, 4)]]
-        assert sorted(got) == want
+        assert sorted(got) == [(want[s, i // 4], i) for i in range(len(got))]
+    order = [(r.source, r.doc_id) for r in mixing.mix(real, weights, block=4).collect()]
+    assert order == [(r.source, r.doc_id) for r in sorted(out, key=lambda r: (r._slot, r._place))]
     kept = mixing.mix(hard, {"s": 1.0}, block=2)
     assert kept.columns == hard.columns and sorted(map(str, kept.collect())) == sorted(map(str, hard.collect()))
+    assert sorted(map(str, mixing.mix(hard, {}).collect())) == sorted(map(str, hard.collect()))
     assert mixing.mix(empty, mixing.measured_weights(empty)).count() == 0
-    with pytest.raises(ValueError):
-        mixing.slots_of({})
+
+
+def test_equal_rows_take_places_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(common, "RUN", 16)  # 200 copies are made in many runs
+    rows_ = [(1, "x", "a", [1, None], {"k": "v"})] * 200 + [(i, "x", "b", [None, 1], {"k": None}) for i in range(50)] + [(1, "x", "a", [None, 1], {"k": "v"})] * 3 + [(None, None, None, None, None)] * 30
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, source string, xs array<int>, m map<string,string>").repartition(5)
+    weights = {"a": 1.0, "b": 1e-5}
+    out = mixing.mixed_places(docs, weights, block=4).collect()
+    assert Counter(str(r[:5]) for r in out) == Counter(map(str, rows_))
+    want = brute_schedule({"a": 1.0, "b": 0.02}, {"a": 51, "b": 13})
+    for s, n in (("a", 203), ("b", 50), (None, 30)):
+        assert sorted(r._place for r in out if r.source == s) == list(range(n))
+    even = mixing.mixed_places(docs, {"a": 1.0, "b": 0.02}, block=4).collect()
+    assert sorted((r.source, r._slot, r._place) for r in even if r.source) == sorted((s, want[s, i // 4], i) for s, n in (("a", 203), ("b", 50)) for i in range(n))
+    assert {r._slot for r in out if r.source is None} == {None}
+    firsts = sorted(r._slot for r in out if r.source == "b")[::4]
+    assert firsts[1] >= 10**5  # a weight of 1/100001 gets no more than that
+
+
+def test_blocks_grow_with_the_table(real, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
+    weights = mixing.measured_weights(real)
+    out = mixing.mixed_places(real, weights, block=4).collect()
+    assert len(out) == 200 and len(weights) == 20
+    assert len(Counter(r._slot for r in out)) == 20  # blocks of 20 rows, so one for each source
 
 
 def test_lag_to_exact_weights(spark, monkeypatch):
     weights = {f"s{i:02}": 1.0 for i in range(21)}  # shares that are no multiples of 1/1000
     sent, seen = Counter(), 0
-    for s, n, slot in mixing.block_slots(weights, dict.fromkeys(weights, 500)):
+    for s, n, slot in mixing.block_slots(weights, dict.fromkeys(weights, 500)):  # 10,500 slots
         assert n == sent[s] and slot == seen and n * 21 < (slot + 1) and slot < (n + 1) * 21
         sent[s], seen = n + 1, seen + 1
     assert seen == 21 * 500
@@ -132,7 +270,7 @@ def test_lag_to_exact_weights(spark, monkeypatch):
     for s, n, slot in mixing.block_slots(uneven, dict.fromkeys(weights, 300)):  # sources run out one after the other
         w = Fraction(uneven[s]) / whole
         assert math.floor(n / w) <= slot < math.ceil((n + 1) / w)
-    monkeypatch.setattr(mixing, "CHUNK", 100)
+    monkeypatch.setattr(mixing, "PIECE", 1000)
     docs = spark.range(21 * 150).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.format_string("s%02d", F.col("id") % 21).alias("source"))
     out = mixing.mixed_places(docs, weights, block=1).collect()
     assert sorted(r._slot for r in out) == list(range(21 * 150))
@@ -188,13 +326,7 @@ def test_fingerprints_and_components(real, hard, empty):
     assert {i: r.component_id for i, r in out.items()} == brute_components(fps)
     found = simhash.near_duplicates(hard).collect()
     assert len(found) == len(HARD) and {r.component_id for r in found if r.doc_id in (0, 1, 2)} == {0}
-    assert simhash.near_duplicates(empty).count() == 0 == simhash.one_per_group(empty).count()
-
-
-def test_one_per_group(hard):
-    kept = simhash.one_per_group(hard)
-    ids = Counter(r.doc_id for r in kept.collect())
-    assert kept.columns == hard.columns and ids[0] == 1 and ids[1] == ids[2] == ids[4] == 0 and ids[3] == 1 and ids[None] == 2
+    assert simhash.near_duplicates(empty).count() == 0
 
 
 def test_near_copies_equal_brute_force_jaccard(spark, hard, monkeypatch):
@@ -278,6 +410,68 @@ def test_line_templates(spark, hard, empty):
     assert line_templates.dedup_lines(empty).count() == 0
 
 
+def plain_line_dedup(docs):
+    """The rule as it is written, over (id, text) of different documents: what is left of each, by nested loops over tuples instead of hashes."""
+    parsed = []
+    for d, (i, text) in enumerate(docs):
+        for pos, line in enumerate(text.split("\n")):
+            tokens = re.sub("[ \t\x0b\f\r]+", " ", line).strip(" ").split(" ")
+            tokens = tuple("<*>" if re.search("[0-9@]|://", t) else t for t in tokens)
+            if len(tokens) >= 5:
+                rest, n = tokens[3:], len(tokens) - 3
+                f = min(n, 12)
+                parsed.append((d, i, pos, (len(tokens), tokens[:3]), tuple(rest[k * n // f : (k + 1) * n // f] for k in range(f))))
+    holders = defaultdict(set)
+    for d, _, _, leaf, fields in parsed:
+        holders[leaf, fields].add(d)
+    support = Counter()
+    for (leaf, fields), ds in holders.items():
+        for k, f in enumerate(fields):
+            support[leaf, k, f] += len(ds)
+    found = defaultdict(list)
+    for d, i, pos, leaf, fields in parsed:
+        constant = tuple(f if support[leaf, k, f] >= 3 else None for k, f in enumerate(fields))
+        if sum(c is not None for c in constant) >= 0.8 * len(fields):
+            found[leaf, constant].append((i, d, pos))
+    gone = defaultdict(set)
+    for rows_ in found.values():
+        if len({d for _, d, _ in rows_}) >= 3:
+            first = min(rows_)[1]
+            for _, d, pos in rows_:
+                if d != first:
+                    gone[d].add(pos)
+    return {docs[d][0]: "\n".join(x for pos, x in enumerate(docs[d][1].split("\n")) if pos not in gone[d]) for d in range(len(docs))}
+
+
+def test_line_templates_equal_the_plain_rule(spark, monkeypatch):
+    monkeypatch.setattr(common, "UNIT", 8)  # leaves, lines and templates of more rows are salted
+    rng = random.Random(12)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    forms = [" ".join(rng.choice(words) for _ in range(rng.randrange(5, 30))) for _ in range(12)]
+    texts = []
+    for _ in range(150):
+        lines = []
+        for _ in range(rng.randrange(1, 8)):
+            tokens = rng.choice(forms).split(" ")
+            if rng.random() < 0.5:
+                tokens[rng.randrange(len(tokens))] = rng.choice(["7", "a@b.c", "http://x", "odd", rng.choice(words)])
+            lines.append(rng.choice([" ", "  ", "\t"]).join(tokens))
+        texts.append("\n".join(lines))
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs + docs[:40] * 3, "doc_id long, text string")  # copies of a row count once and are treated alike
+    want = plain_line_dedup(docs)
+    got = line_templates.dedup_lines(frame).collect()
+    assert len(got) == 270 and all(r.text == want[r.doc_id] for r in got) and sum(r._dropped > 0 for r in got) > 50
+
+
+def test_very_long_texts_lose_lines_in_linear_time(spark):
+    page = "\n".join(f"This same line stands in every one of them {'x' * (i % 50)}y" if i % 2 else f"q{i:x} w{i * 7:x} e{i * 11:x} r{i * 13:x} t{i * 17:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(200_000))
+    frame = spark.createDataFrame([(i, page + "\n" + chr(97 + i) * 9) for i in range(3)], "doc_id long, text string")
+    start = time.time()
+    out = {r.doc_id: r for r in line_templates.dedup_lines(frame).select("doc_id", "_lines", "_dropped", F.length("text").alias("left")).collect()}
+    assert (out[0]._dropped, out[1]._dropped, out[2]._dropped) == (0, 200_000, 200_000) and out[1].left == 9 and time.time() - start < 120
+
+
 # --- 5 BPE
 
 
@@ -329,12 +523,45 @@ def test_packing_is_lossless(hard, empty, tmp_path):
     packing.write_matrix(packed, str(tmp_path / "m"))
     assert hard.sparkSession.read.parquet(str(tmp_path / "m")).count() == packed.count()
     assert packing.packed_rows(empty, RANKS).count() == 0
+    named = packing.packed_rows(hard.withColumn("doc_id", F.concat(F.lit("id-"), F.col("doc_id"))), RANKS, size=128).collect()
+    assert {i for r in named for i in r.doc_ids} == {None, *(f"id-{r[0]}" for r in HARD if r[0] is not None)}
     assert sum(r.n_tokens for r in packing.packed_rows(hard, RANKS).collect()) == sum(r.n_tokens for r in packing.packed_rows(hard.repartition(5), RANKS).collect())
 
 
+def test_many_copies_are_packed_in_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 8)
+    docs = spark.createDataFrame([(1, "a b c")] * 200 + [(i, f"text {i}") for i in range(2, 60)], "doc_id long, text string")
+    monkeypatch.setattr(packing, "MOST_HOT", 100)
+    out = packing.packed_rows(docs, RANKS, size=64).collect()
+    assert Counter(i for r in out for i in r.doc_ids) == Counter([1] * 200 + list(range(2, 60))) and len({r.grp for r in out if 1 in r.doc_ids}) > 5
+
+
 # --- 7 sharding
 
 
+def signed_hash(values):
+    """The engine's 64-bit xxHash of longs and ints, in turn: fixed-width little-endian inputs, seed 42, chained."""
+    seed = 42
+    for value, width in values:
+        seed = xxhash.xxh64_intdigest(int(value).to_bytes(width, "little", signed=True), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def test_shards_equal_brute_force(real):
+    """Shard and grown shard recomputed by hand: the least -ln(u) over all shards."""
+
+    def shard(key, n):
+        record = signed_hash([(key, 8)])
+        costs = []
+        for i in range(n):
+            h = signed_hash([(record, 8), (i, 4)]) & (1 << 64) - 1
+            costs.append((-math.log(((h >> 11) + 0.5) / (1 << 53)), i))
+        return min(costs)[1]
+
+    for r in sharding.shard_documents(real, 24).collect():
+        assert (r.shard, r.grown_shard) == (shard(r.doc_id, 24), shard(r.doc_id, 25))
+
+
 def test_sharding(real, hard, empty):
     out = sharding.shard_documents(real, 24).collect()
     texts = {r.doc_id: (r.text or "").encode() for r in real.collect()}
@@ -359,7 +586,7 @@ def test_weighted_shards(spark):
 
 
 def test_hot_key_slots(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "RUN", 7)
+    monkeypatch.setattr(common, "RUN", 7)
     hot = spark.range(100).select(F.lit(5).alias("k"), F.lit(0).alias("shard"))
     assert sorted(r.slot for r in sharding.number_slots(hot, "shard").collect()) == list(range(100))
 
@@ -367,20 +594,45 @@ def test_hot_key_slots(spark, monkeypatch):
 # --- 8 top-k
 
 
-def test_top_k(spark):
-    rng = np.random.default_rng(4)
-    vectors = [(i, [float(x) for x in rng.normal(0, 0.1, 16)]) for i in range(300)]
-    vectors += [(300, None), (301, [1.0, None]), (302, [float("nan")]), (303, [float("inf")] * 16), (304, []), (305, [0.5] * 3), (306, [1e30] + [0.0] * 15), (None, [0.1]), (7, vectors[7][1])]
-    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
-    clean = [(i, [min(max(math.floor(64 * float(np.float32(x))), -topk.LARGEST), topk.LARGEST) for x in v]) for i, v in vectors if i is not None and v is not None and i not in (301, 302, 303)]
+def plain_weights(vector):
+    return [math.floor(64 * Fraction(x)) for x in vector]
+
+
+def check_top_k(vectors, frame, asked, k):
+    clean = [(i, plain_weights(v)) for i, v in vectors if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     got = defaultdict(list)
-    for r in topk.top_k(frame, frame.filter("vec_id % 20 = 0 or vec_id in (304, 305, 7)"), k=5).orderBy("query_id", "rank").collect():
+    for r in topk.top_k(frame, frame.filter(F.col("vec_id").isin(asked)), k=k).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.score, r.vec_id))
+    queries_ = {}
     for q, v in clean:
-        if q % 20 == 0 or q in (304, 305, 7):
-            scored = sorted(((sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in clean if i != q), key=lambda x: (-x[0], x[1]))
-            assert got[q] == scored[:5]
-    assert 300 not in got and topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
+        if q in asked:
+            queries_[q] = min(queries_.get(q, v), v)
+    low, high = -(1 << 63), (1 << 63) - 1
+    for q, v in queries_.items():
+        scored = sorted(((sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in clean if i != q), key=lambda x: (-x[0], x[1]))
+        assert got[q] == [(min(max(score, low), high), i) for score, i in scored[:k]]
+    assert set(got) == set(queries_)
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(4)
+    vectors = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.1, 16)]) for i in range(300)]
+    vectors += [(300, None), (301, [1.0, None]), (302, [float("nan")]), (303, [float("inf")] * 16), (304, []), (305, [0.5] * 3), (None, [0.25]), (7, vectors[7][1])]
+    frame = spark.createDataFrame([(*v, 1, "x", 2) for v in vectors], "vec_id long, embedding array<float>, rank int, rows string, q int")  # names that the operator uses
+    check_top_k(vectors, frame, [*range(0, 300, 20), 304, 305, 7], 5)
+    assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
+    plain_frame = spark.createDataFrame([(v[0], v[1]) for v in vectors if v[0] is not None and v[0] < 300], "vec_id long, embedding array<float>")
+    assert topk.top_k(plain_frame, plain_frame.filter("vec_id = 20"), k=500).count() == 300  # all, if fewer
+
+
+def test_top_k_is_exact_for_large_components(spark):
+    rng = np.random.default_rng(6)
+    large = [(1, [3e6, 0.0]), (2, [5e6, 0.0]), (3, [1.0, 1.0]), (4, [-7e6, 3.5]), (20, [4e6, -2.0])]  # beyond 2**21
+    wide = [(100 + i, [float(x) for x in rng.choice([1e9, -1e9, 3e8, 0.3], 600)]) for i in range(30)]  # sums beyond a long
+    huge = [(200, [1e300, 1.0]), (201, [1e308, -1e308]), (202, [-1e300, 0.015625]), (203, [2.0**53 + 2, 2.0**-6]), (204, [1.7e308] * 600)]
+    vectors = large + wide + huge
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    check_top_k(vectors, frame, [i for i, _ in vectors], 7)
 
 
 def test_top_k_blocks(spark, monkeypatch):
@@ -388,7 +640,10 @@ def test_top_k_blocks(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 16)
     frame = spark.createDataFrame([(i, [i % 7 / 10, -(i % 5) / 10]) for i in range(100)], "vec_id long, embedding array<double>")
     got = topk.top_k(frame, frame.filter("vec_id % 10 = 0"), k=4).collect()
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 0)
+    shuffled = topk.top_k(frame, frame.filter("vec_id % 10 = 0"), k=4).collect()
     monkeypatch.undo()
+    assert sorted(got) == sorted(shuffled)
     assert sorted(got) == sorted(topk.top_k(frame, frame.filter("vec_id % 10 = 0"), k=4).collect()) and len(got) == 40
 
 
@@ -411,6 +666,19 @@ def test_url_rules(spark):
     rules = url_rules.mined_rules(pages, labels).collect()
     assert [r["items"] for r in rules if "h:spam" in r["items"]] == [["h:spam"]]  # longer rules are pruned
     assert url_rules.judge_urls(pages.limit(0), labels.limit(0), queries.LISTED).count() == 0
+    plain = {r.page_id: r for r in url_rules.judge_urls(pages, labels, ()).collect()}
+    assert {r.rule for r in plain.values()} == {None} and plain[204].verdict == "allow" and all((plain[i].verdict == "block") == (i % 4 == 0) for i in range(200))
+
+
+def test_hot_and_null_urls(spark, monkeypatch):
+    monkeypatch.setattr(common, "UNIT", 8)
+    urls = ["http://spam.net/a"] * 300 + [None] * 300 + [f"http://good.net/{i}" for i in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 300), 0) for i in range(900)], "doc_id long, quality int, toxic int")
+    out = url_rules.judge_urls(pages, labels, queries.LISTED).collect()
+    assert sorted((r.page_id, r.verdict) for r in out) == [(i, "block" if i < 300 else "allow") for i in range(900)]
+    monkeypatch.setattr(url_rules, "MOST_BROADCAST", 0)
+    assert sorted(map(str, url_rules.judge_urls(pages, labels, queries.LISTED).collect())) == sorted(map(str, out))
 
 
 def test_url_rules_of_long_urls(spark):
@@ -468,6 +736,32 @@ def test_tabulated_filters_equal_plain_ones():
     assert np.allclose(model.probabilities(x), want, atol=1e-5)
 
 
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(3)
+    model = lang_cnn.ByteCNN(["a", "b", "c"])
+    for name, w in model.weights.items():
+        model.weights[name] = w.astype(np.float64) + rng.normal(0, 0.05, w.shape)
+    x, y = rng.integers(0, 256, (6, lang_cnn.WINDOW)).astype(np.uint8), np.array([0, 1, 2, 0, 1, 2])
+
+    def loss():
+        pooled = [(sum(model.weights[f"k{w}"][j][x[:, j : j + lang_cnn.WINDOW - w + 1]] for j in range(w)) + model.weights[f"b{w}"]).max(axis=1) for w in lang_cnn.WIDTHS]
+        p = lang_cnn.softmax(np.maximum(np.concatenate(pooled, axis=1), 0) @ model.weights["out"] + model.weights["bias"])
+        return -np.log(p[np.arange(len(y)), y]).mean()
+
+    grads = model.gradients(x, y, np.ones(6))
+    for name, grad in grads.items():
+        w = model.weights[name]
+        largest = np.argsort(-np.abs(grad), axis=None)[:6]
+        for at in [*largest, *rng.integers(0, w.size, 4)]:
+            at, step = np.unravel_index(at, w.shape), 1e-5
+            w[at] += step
+            up = loss()
+            w[at] -= 2 * step
+            down = loss()
+            w[at] += step
+            assert abs((up - down) / (2 * step) - grad[at]) < 1e-4 * max(1.0, abs(grad[at]) * 10)
+
+
 # --- pipeline
 
 
@@ -481,6 +775,42 @@ def test_pipeline(spark, real, hard, empty):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_pipeline_stage_by_stage(spark, real, tmp_path):
+    """Which rows each stage keeps, and in which order, by brute force on its own input."""
+    docs = real
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.collect()
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        after = docs.collect()
+        if name == "language ID":
+            found = {r.doc_id: r for r in lang_cnn.identify_languages(real, lang_cnn.fit_language_model(real)).collect()}
+            want = [r for r in before if found[r.doc_id].lang_pred != "und" and found[r.doc_id].score >= 0.5]
+            assert sorted(after) == sorted(want)
+        elif name == "line dedup":
+            left = plain_line_dedup([(r.doc_id, r.text) for r in before])
+            want = {r.doc_id: left[r.doc_id] for r in before if left[r.doc_id] == r.text or left[r.doc_id].strip(" ")}
+            assert {r.doc_id: r.text for r in after} == want
+        elif name == "near-dedup":
+            sets = [frozenset(near_copies.shingle_set(r.text.encode()).tolist()) for r in before]
+            parent = {r.doc_id: r.doc_id for r in before}
+            for a, b in combinations(range(len(before)), 2):
+                shared = len(sets[a] & sets[b])
+                if sets[a] == sets[b] or shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
+                    low, high = sorted((parent[before[a].doc_id], parent[before[b].doc_id]))
+                    parent = {i: low if x == high else x for i, x in parent.items()}
+            assert {r.doc_id for r in after} == {i for i, root in parent.items() if i == root}
+        elif name == "mixing sources":
+            slots = {r.doc_id: (r._slot, r._place) for r in mixing.mixed_places(spark.createDataFrame(before), mixing.measured_weights(spark.createDataFrame(before))).collect()}
+            want = brute_schedule(mixing.measured_weights(spark.createDataFrame(before)), {s: -(-n // 64) for s, n in Counter(r.source for r in before).items()})
+            assert sorted(map(str, after)) == sorted(map(str, before)) and {slots[r.doc_id][0] for r in before} == set(want.values())
+            assert [r.doc_id for r in stage(spark, spark.createDataFrame(before), SF).collect()] == sorted(slots, key=slots.get)
+        else:
+            library = Tokenizer.from_file(VOCABULARY)
+            ids = {r.doc_id: np.array(library.encode(r.text, add_special_tokens=False).ids, dtype="<u4").tobytes() for r in before}
+            assert {r.doc_id: bytes(r.ids) for r in after} == ids
+
+
 def test_registered():
     names = set(queries.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
