@@ -36,8 +36,8 @@ from quillspark.llm.common import durable, expanded, new_path
 
 #: Most blocks of a schedule, apart from one more for each source.
 MOST_BLOCKS = 1 << 20
-#: Different rows that are numbered under one part number on average, and the fewest parts.
-PART_ROWS, LEAST_PARTS = 65_536, 16
+#: Different rows that are numbered under one part number on average, and the fewest parts of a source.
+PART_ROWS, LEAST_PARTS = 65_536, 1024
 #: From this slot on (no real table gets there) blocks only keep their order.
 LAST = 1 << 62
 #: Bytes of the schedule that are handed to the file system at once.

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import durable, expanded
 
-#: Different rows that are numbered in one part of a shard on average.
-PART_ROWS = 65_536
+#: Different rows that are numbered under one part number on average, and the fewest parts of a shard.
+PART_ROWS, LEAST_PARTS = 65_536, 256
 
 
 def rendezvous_shard(keys: Sequence[Column], weights: Sequence[float]) -> Column:
@@ -60,7 +60,7 @@ def number_slots(df: DataFrame, shard: str, slot: str = "slot") -> DataFrame:
     order = F.xxhash64(*[F.col(c) for c in columns])
     counted = durable(df.withColumn("_hash", order).groupBy(*columns, "_hash").agg(F.count(F.lit(1)).alias("_n")))
     size = counted.count()
-    counted = counted.withColumn("_part", F.pmod("_hash", F.lit(max(16, -(-size // PART_ROWS)))))
+    counted = counted.withColumn("_part", F.pmod("_hash", F.lit(max(LEAST_PARTS, -(-size // PART_ROWS)))))
     parts = Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counted.groupBy(shard, "_part")
