@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.durable import durable, new_path, shared_folder, written
 from quillspark.functions.shipping import ship_package
 
-__all__ = ["durable", "even_join", "expanded", "new_path", "rebatched", "shared_folder", "ship_package", "table", "utf8_texts", "written"]
+__all__ = ["durable", "even_join", "expanded", "hot_bound", "new_path", "rebatched", "shared_folder", "ship_package", "table", "utf8_texts", "written"]
 
 #: Upper bounds of what a Python worker handles at once.
 BATCH_ROWS = 256
@@ -48,6 +48,11 @@ def rebatched(batches: Iterator[pa.RecordBatch], column: int, most: int = BATCH_
             yield batch.slice(start)
 
 
+def hot_bound(total: int) -> int:
+    """The most rows of one key, of ``total`` rows, that a single task may get."""
+    return max(UNIT, -(-total // MOST_HOT))
+
+
 def even_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, total: int, spread: Column, how: str = "inner", grows: bool = False) -> DataFrame:
     """``left`` joined with ``right`` (one row for each key) such that no task gets a whole hot key.
 
@@ -57,7 +62,7 @@ def even_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str,
     and are dealt out likewise. ``how``: inner or left. ``grows`` says that ``right`` grows with the input: then both sides are
     sorted and merged at every size, where a small one would be broadcast instead.
     """
-    unit = max(UNIT, -(-total // MOST_HOT))
+    unit = hot_bound(total)
     sized = right.withColumn("e_salts", F.greatest(F.ceil(F.col(rows) / F.lit(unit)), F.lit(1)).cast("int"))
     hot = sized.filter("e_salts > 1").select(*keys, "e_salts")
     lone = reduce(Column.__or__, [F.col(k).isNull() for k in keys])

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, even_join, rebatched, ship_package, utf8_texts
+from quillspark.llm.common import durable, even_join, hot_bound, rebatched, ship_package, utf8_texts
 
 SEED = 42
 WIDTH = 8
@@ -184,19 +184,21 @@ def posting_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 def components(links: DataFrame) -> DataFrame:
     """node, root (the least node connected) for every node of u-v links, by alternating stars.
 
-    Each round is checkpointed; the number of rounds grows with the logarithm of the longest chain. A node of many links is spread
-    over several tasks where its links meet it.
+    Each round is checkpointed; the number of rounds grows with the logarithm of the longest chain. In rounds where a node has so
+    many links that they would crowd a task, they are spread over several; other rounds keep the shorter plan.
     """
     edges = durable(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before, total = None, 2 * edges.count()
     while True:
+        degrees = edges.select(F.explode(F.array("u", "v")).alias("u")).groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        crowded = (degrees.agg(F.max("n")).first()[0] or 0) > hot_bound(total)
+        meet = (lambda left, right, bound=total: even_join(left, right, ["u"], "n", bound, F.xxhash64("v"))) if crowded else (lambda left, right: left.join(right, "u"))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = even_join(both, least, ["u"], "n", total, F.xxhash64("v")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = meet(both, least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # every u is now above its v: link the neighbours below it, and itself, to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        stars = even_join(large, low, ["u"], "n", total, F.xxhash64("v"))
-        small = stars.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        small = meet(large, low).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         edges = durable(small.filter("u <> v").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

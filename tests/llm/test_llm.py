@@ -365,7 +365,9 @@ def test_repeated_ids_with_different_texts_stay(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(7, first), (7, second)]
 
 
-def test_index_finds_all_links(spark):
+@pytest.mark.parametrize("unit", [4096, 5])  # with and without crowded nodes
+def test_index_finds_all_links(spark, monkeypatch, unit):
+    monkeypatch.setattr(common, "UNIT", unit)
     rng = random.Random(5)
     fps = {rng.getrandbits(64) for _ in range(150)}
     for f in list(fps):
