@@ -3,7 +3,8 @@
 Frames are lossless JPEG (process 14: predictor 1, 8-bit grey samples, one Huffman table), so
 stored samples come back exactly. Each frame is a JPEG file of its own in a ``00dc`` chunk; the
 ``idx1`` index gives every frame's place. Coding and decoding run over many frames in step with
-numpy: one symbol of every frame at a time.
+numpy: one symbol of every frame at a time. Baseline DCT frames, as cameras write them, are read as
+well, by their brightness; those files are decoded a bounded number of frames at a time.
 
 Shots: the differences of neighbouring frames' histograms; a cut is where a difference stands out
 from those around it (mean plus a multiple of the deviation) and passes a floor. Shots are timed
@@ -14,8 +15,8 @@ Equal texts give equal files. Repeated rows repeat in the result. An empty table
 result. Columns other than id and text, or id and media, are not looked at.
 
 Index entries may count from the file's start or from its ``movi`` list. Media that cannot be
-read (no AVI file, cut short, broken, or frames of another coding: only lossless grey frames are
-decoded) give one row with a null result and the reason in ``error``; they harm no other row.
+read (no AVI file, cut short, broken, or frames of another coding than lossless grey and baseline
+DCT) give one row with a null result and the reason in ``error``; they harm no other row.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quillspark.llm import jpeg_dct
 from quillspark.llm.common import rebatched, ship_package, utf8_texts
 
 SIDE = 24
@@ -241,20 +244,27 @@ def parse_index(file: bytes) -> tuple[np.ndarray, np.ndarray, float]:
     return starts + 8, lengths, rate
 
 
-def read_files(files: list[bytes]) -> list[tuple[np.ndarray, float]]:
-    """Samples (frames, height, width) and frame rate of each AVI file, decoded through its index."""
+def read_parts(files: list[bytes]) -> list[tuple[Iterable[np.ndarray], float]]:
+    """Samples of each AVI file, read through its index, as arrays (frames, height, width), and its frame rate.
+
+    Lossless frames of one header are decoded together whatever file they are of; files of DCT frames when their arrays are asked for.
+    """
     places, groups, base = [], {}, 0
     joined = np.frombuffer(b"".join(files), dtype=np.uint8)
+    out: list = []
     for number, file in enumerate(files):
         starts, lengths, rate = parse_index(file)
+        parts: Iterable[np.ndarray] = []
         if len(starts):
-            begin = int(starts[0])
-            h = file.index(b"\xff\xda", begin) - begin
-            h += 2 + int.from_bytes(file[begin + h + 2 : begin + h + 4], "big")
-            groups.setdefault(file[begin : begin + h], []).append(number)
-        places.append((starts + base, lengths, rate))
+            begin, first = int(starts[0]), file[int(starts[0]) : int(starts[0] + lengths[0])]
+            *_, (_, _, h) = jpeg_dct.segments(first)
+            if jpeg_dct.is_sequential(first):
+                parts = jpeg_dct.decode([file[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)])
+            else:
+                groups.setdefault(file[begin : begin + h], []).append(number)
+        places.append((starts + base, lengths))
+        out.append((parts, rate))
         base += len(file)
-    out: list = [(np.zeros((0, SIDE, SIDE), dtype=np.uint8), p[2]) for p in places]
     for header, numbers in groups.items():
         starts = np.concatenate([places[i][0] for i in numbers])
         lengths = np.concatenate([places[i][1] for i in numbers])
@@ -265,16 +275,44 @@ def read_files(files: list[bytes]) -> list[tuple[np.ndarray, float]]:
         f = 0
         for i in numbers:
             n = len(places[i][0])
-            out[i] = samples[f : f + n], places[i][2]
+            out[i] = [samples[f : f + n]], out[i][1]
             f += n
     return out
 
 
-def read_each(files: list[bytes | None]) -> list[tuple[np.ndarray | None, float, str | None]]:
-    """Samples, frame rate and error of each file. Files are decoded together; only if that fails, one by one."""
+def read_files(files: list[bytes]) -> list[tuple[np.ndarray, float]]:
+    """All samples (frames, height, width) and the frame rate of each AVI file."""
+    return [(np.concatenate([np.zeros((0, SIDE, SIDE), dtype=np.uint8)] if not (own := list(parts)) else own), rate) for parts, rate in read_parts(files)]
+
+
+class Summary(NamedTuple):
+    """What is kept of a file's frames: their histograms and sums, the samples of a frame, and digests of all samples."""
+
+    counts: np.ndarray
+    sums: np.ndarray
+    samples: int
+    size: int
+    sha256: str
+    tail: bytes
+
+
+def summary(parts: Iterable[np.ndarray]) -> Summary:
+    counts, sums, samples, size, digest, tail = [np.zeros((0, BINS), dtype=np.int64)], [np.zeros(0, dtype=np.int64)], 1, 0, hashlib.sha256(), b""
+    for frames in parts:
+        if len(frames):
+            payload = frames.tobytes()
+            counts.append(histograms(frames))
+            sums.append(frames.reshape(len(frames), -1).sum(axis=1, dtype=np.int64))
+            samples, size, tail = frames[0].size, size + len(payload), (tail + payload[-32:])[-32:]
+            digest.update(payload)
+    return Summary(np.concatenate(counts), np.concatenate(sums), samples, size, digest.hexdigest(), tail)
+
+
+def read_each(files: list[bytes | None]) -> list[tuple[Summary | None, float, str | None]]:
+    """Summary, frame rate and error of each file. Files are decoded together; only if that fails, one by one."""
     there = [f for f in files if f is not None]
     try:
-        found = iter([(frames, rate, None) for frames, rate in read_files(there)])
+        found = iter([(summary(parts), rate, None) for parts, rate in read_parts(there)])
         return [(None, 0.0, "no media") if f is None else next(found) for f in files]
     except Exception as error:  # whatever broken bytes lead to, it must stay with its row
         if len(files) == 1:
@@ -342,13 +380,13 @@ def media_clips(media: DataFrame, id_col: str = "doc_id", media_col: str = "medi
         for batch in rebatched(batches, 1, 2 * CHUNK):
             batch = batch.filter(batch.column(1).is_valid())
             rows: list[tuple] = []
-            for row, (frames, rate, error) in enumerate(read_each(batch.column(1).to_pylist())):
-                if frames is None:
+            for row, (seen, rate, error) in enumerate(read_each(batch.column(1).to_pylist())):
+                if seen is None:
                     rows.append((row, None, None, None, None, None, error))
                     continue
-                cuts = shots(histograms(frames), frames[0].size if len(frames) else 1)
-                for k, (a, b) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(frames)][: len(cuts)], strict=True)):
-                    rows.append((row, k, a / rate, b / rate, b - a, float(frames[a:b].mean()), None))
+                cuts = shots(seen.counts, seen.samples).tolist()
+                for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(seen.counts)][: len(cuts)], strict=True)):
+                    rows.append((row, k, a / rate, b / rate, b - a, float(seen.sums[a:b].sum() / (seen.samples * (b - a))), None))
             at, *rest = zip(*rows, strict=True) if rows else ([],) * 7
             kinds = (pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.string())
             arrays = [batch.column(0).take(pa.array(at, pa.int64()))] + [pa.array(c, t) for c, t in zip(rest, kinds, strict=True)]
@@ -366,14 +404,13 @@ def media_digests(media: DataFrame) -> DataFrame:
     """
     ship_package(media.sparkSession)
 
-    def digests(file: bytes | None, frames: np.ndarray | None, rate: float, error: str | None) -> tuple:
+    def digests(file: bytes | None, seen: Summary | None, rate: float, error: str | None) -> tuple:
         stored = (len(file), hashlib.sha256(file).hexdigest()) if file is not None else (None, None)
-        if frames is None:
+        if seen is None:
             return None, None, None, *stored, None, None, error
-        payload = frames.tobytes()
-        cuts = shots(histograms(frames), FRAME).tolist()
-        clips = ",".join(f"{a}-{b}" for a, b in zip(cuts, [*cuts[1:], len(frames)][: len(cuts)], strict=True))
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored, f"{len(frames)}f@{rate:g}:{clips}", len(cuts), None
+        n, cuts = len(seen.counts), shots(seen.counts, seen.samples).tolist()
+        clips = ",".join(f"{a}-{b}" for a, b in zip(cuts, [*cuts[1:], n][: len(cuts)], strict=True))
+        return seen.size, seen.sha256, zlib.crc32(seen.tail), *stored, f"{n}f@{rate:g}:{clips}", len(cuts), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches, 2, 2 * CHUNK):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quillspark.llm import bpe, common, lang_cnn, line_templates, media_avi, mixing, near_copies, packing, queries, sharding, simhash, topk, url_rules
+from quillspark.llm import bpe, common, jpeg_dct, lang_cnn, line_templates, media_avi, mixing, near_copies, packing, queries, sharding, simhash, topk, url_rules
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, leaf string, slot int, found int, _slot int, _dropped int"
@@ -171,6 +171,94 @@ def test_media_against_a_second_decoder():
         assert plain_frames(media_avi.write_files([payload])[0]) == payload.tobytes()
 
 
+def java_jpeg(jvm, image):
+    """A baseline JPEG by the JVM's encoder: (h, w) grey or (h, w, 3) colour, the latter with coarser colour than brightness."""
+    h, w = image.shape[:2]
+    java = jvm.java.awt.image.BufferedImage(w, h, 10 if image.ndim == 2 else 5)
+    raster = java.getRaster()
+    for (y, x, band), v in np.ndenumerate(image.reshape(h, w, -1)):
+        raster.setSample(x, y, band, int(v))
+    out = jvm.java.io.ByteArrayOutputStream()
+    assert jvm.javax.imageio.ImageIO.write(java, "jpg", out)
+    return bytes(out.toByteArray())
+
+
+def java_brightness(jvm, data):
+    java = jvm.javax.imageio.ImageIO.read(jvm.java.io.ByteArrayInputStream(bytearray(data)))
+    samples = np.frombuffer(bytes(java.getRaster().getDataBuffer().getData()), np.uint8).reshape(java.getHeight(), java.getWidth(), -1)
+    return samples[:, :, 0].astype(float) if samples.shape[2] == 1 else samples[:, :, ::-1] @ np.array([0.299, 0.587, 0.114])
+
+
+def without_tables(data):
+    at, out = 2, data[:2]
+    for marker, _, end in jpeg_dct.segments(data):
+        out, at = out + (b"" if marker == 0xFFC4 else data[at:end]), end
+    return out + data[at:]
+
+
+def avi_of(frames):
+    """An AVI file of ready JPEG frames."""
+    movi, index = b"movi", b""
+    for f in frames:
+        index += b"00dc" + np.array([16, len(movi), len(f)], "<u4").tobytes()
+        movi += media_avi.chunk(b"00dc", f)
+    body = b"AVI " + media_avi.avi_header(len(frames), max(map(len, frames))) + media_avi.chunk(b"LIST", movi) + media_avi.chunk(b"idx1", index)
+    return b"RIFF" + np.uint32(len(body)).astype("<u4").tobytes() + body
+
+
+def test_baseline_frames_equal_the_jvm_decoder(spark, monkeypatch):
+    jvm, rng = spark._jvm, np.random.default_rng(1)
+    y, x = np.mgrid[:21, :35]
+    waves = (128 + 60 * np.sin(x / 4) + 40 * np.cos(y / 3)).astype(np.uint8)
+    colour = np.stack([128 + 50 * np.sin(x / 7), 120 + 50 * np.cos(y / 5), 100 + x], -1).astype(np.uint8)
+    frames = [java_jpeg(jvm, i) for i in (waves, rng.integers(0, 256, waves.shape), colour, waves[::-1])]
+    for together in (1, 1 << 25):
+        monkeypatch.setattr(jpeg_dct, "TOGETHER", together)
+        found = np.concatenate(list(jpeg_dct.decode(frames)))
+        assert found.shape == (4, 21, 35)
+        for f, data, off in zip(found, frames, (1, 1, 2, 1), strict=True):
+            assert np.abs(f - java_brightness(jvm, data)).max() <= off
+    bare = without_tables(frames[2])
+    assert len(bare) < len(frames[2]) and np.array_equal(*(next(jpeg_dct.decode([d])) for d in (bare, frames[2])))
+    with pytest.raises(ValueError):
+        list(jpeg_dct.decode([frames[0], java_jpeg(jvm, waves[:9])]))
+    for cut in range(2, len(frames[0]) - 2, 7):  # no cut gives a frame or an error of another kind
+        with pytest.raises((ValueError, IndexError)):
+            list(jpeg_dct.decode([frames[0][:cut]]))
+
+
+@pytest.mark.parametrize("interval", [0, 1, 2, 5])
+def test_restart_markers(interval):
+    """Flat blocks of known brightness, coded by hand with the customary tables."""
+    levels, codes = [128, 0, 255, 127, 200, 200, 3], "00 010 011 100 101 110 1110 11110 111110".split()
+    scan, pieces = "", []
+    for i, v in enumerate(levels):
+        if interval and i and i % interval == 0:
+            pieces, scan = [*pieces, scan], ""
+        d = v - (levels[i - 1] if scan else 128)
+        n = abs(d).bit_length()
+        scan += codes[n] + (f"{d if d > 0 else d + (1 << n) - 1:0{n}b}" if n else "") + "1010"
+    bodies = [int(b.ljust(-(-len(b) // 8) * 8, "1"), 2).to_bytes(-(-len(b) // 8), "big").replace(b"\xff", b"\xff\0") for b in [*pieces, scan]]
+    data = b"".join(b + bytes([0xFF, 0xD0 + i % 8]) for i, b in enumerate(bodies[:-1])) + bodies[-1]
+    header = b"\xff\xd8\xff\xdb\0\x43\0" + b"\x08" * 64 + b"\xff\xc0\0\x0b\x08\0\x08\0\x38\x01\x01\x11\0\xff\xdd\0\x04" + bytes([0, interval]) + b"\xff\xda\0\x08\x01\x01\0\0\x3f\0"
+    (found,) = jpeg_dct.decode([header + data + b"\xff\xd9"])
+    assert found.shape == (1, 8, 56) and found[0].reshape(8, 7, 8).tolist() == [[[v] * 8 for v in levels]] * 8
+
+
+def test_clips_of_baseline_files(spark):
+    scenes = [java_jpeg(spark._jvm, np.full((16, 24), v, np.uint8)) for v in (20, 20, 220)]
+    odd = java_jpeg(spark._jvm, np.full((24, 24), 9, np.uint8))
+    media = [avi_of(scenes[:2] * 6 + scenes[2:] * 8), avi_of([scenes[0], odd]), media_avi.write_files([media_avi.payload_of(b"x" * 500)])[0], avi_of([scenes[0][:-30]])]
+    frame = spark.createDataFrame([(i, len(m), m) for i, m in enumerate(media)], "doc_id long, n_bytes long, media binary")
+    clips = sorted(((r.doc_id, r.clip, r.start_s, r.end_s, r.frames, r.error is None) for r in media_avi.media_clips(frame).collect()), key=str)
+    assert clips[:2] == [(0, 0, 0.0, 0.48, 12, True), (0, 1, 0.48, 0.8, 8, True)]
+    assert [(c[0], c[-1]) for c in clips[2:]] == [(1, False), (2, True), (3, False)]
+    digests = {r.doc_id: r for r in media_avi.media_digests(frame).collect()}
+    whole = media_avi.read_files(media[:1])[0][0]
+    assert whole.shape == (20, 16, 24) and digests[0].payload_sha256 == hashlib.sha256(whole.tobytes()).hexdigest() and digests[0].feature == "20f@25:0-12,12-20"
+    assert digests[0].tail_crc32 == zlib.crc32(whole.tobytes()[-32:]) and digests[0].payload_bytes == 20 * 384 and digests[1].error and digests[3].error
+
+
 def test_broken_media_stay_with_their_row(spark):
     good = media_avi.write_files([media_avi.payload_of(b"some text " * 300)])[0]
     at = good.index(b"idx1") + 8
