@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from quillspark.llm.bpe import encode_documents
 from quillspark.llm.common import table
+from quillspark.llm.importance import resample
 from quillspark.llm.lang_cnn import fit_language_model, identify_languages
 from quillspark.llm.line_templates import dedup_lines
 from quillspark.llm.media_avi import encode_avi, media_digests
+from quillspark.llm.merkle import manifest
 from quillspark.llm.mixing import measured_weights, mixed_places
 from quillspark.llm.packing import packed_rows
 from quillspark.llm.sharding import shard_documents
 from quillspark.llm.simhash import near_duplicates
 from quillspark.llm.topk import top_k
+from quillspark.llm.toxicity import fit_toxicity_model, score_toxicity
 from quillspark.llm.url_rules import CONFIDENCE, COUNT, LOWER, SUPPORT, UPPER, judge_urls
 
 #: The vocabulary that the queries use, as a tokenizers file and as ranks.
@@ -164,9 +167,103 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, fit_language_model(docs))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 of a list of bytes, by a table of 256 values made in SQL.
+CRC_TABLE = """(SELECT list_transform(range(256), lambda n: list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc_sql(bytes_list: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_list}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def leaf_sql(n_chars: str) -> str:
+    return f"sha256({' || '.join(field_sql(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+DIGITS = "list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)"
+OP11_SQL = f"""
+WITH RECURSIVE crc AS {CRC_TABLE},
+leaves AS (
+  SELECT coalesce('=' || lang, '') AS g, doc_id, {leaf_sql("n_chars")} AS leaf,
+    CASE WHEN n_chars IS NOT NULL AND {crc_sql(DIGITS)} % 7 = 0 THEN {leaf_sql("(n_chars + 1)")} ELSE {leaf_sql("n_chars")} END AS now
+  FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS size FROM leaves),
+nodes AS (
+  SELECT g, 0 AS level, pos, size, leaf AS d FROM placed
+  UNION ALL SELECT g, level + 1, pos // 2, (size + 1) // 2, sha256(string_agg(d, '' ORDER BY pos)) FROM nodes WHERE size > 1 GROUP BY g, level + 1, pos // 2, (size + 1) // 2),
+subroots AS (SELECT g, level AS height, d AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS size FROM nodes WHERE size = 1),
+above AS (
+  SELECT 0 AS level, pos, size, subroot AS d FROM subroots
+  UNION ALL SELECT level + 1, pos // 2, (size + 1) // 2, sha256(string_agg(d, '' ORDER BY pos)) FROM above WHERE size > 1 GROUP BY level + 1, pos // 2, (size + 1) // 2),
+steps AS (
+  SELECT p.g, p.pos, s.level, (p.pos >> s.level) & 1 AS odd, o.d AS sibling
+  FROM placed p JOIN (SELECT DISTINCT g, level FROM nodes WHERE size > 1) s ON p.g = s.g
+  LEFT JOIN nodes o ON o.g = p.g AND o.level = s.level AND o.pos = xor(p.pos >> s.level, 1)
+  UNION ALL
+  SELECT p.g, p.pos, r.height + s.level, (r.pos >> s.level) & 1, o.d
+  FROM placed p JOIN subroots r ON p.g = r.g JOIN (SELECT DISTINCT level FROM above WHERE size > 1) s ON true
+  LEFT JOIN above o ON o.level = s.level AND o.pos = xor(r.pos >> s.level, 1)),
+proofs AS (SELECT g, pos, list({{'odd': odd, 'sibling': sibling}} ORDER BY level) AS path FROM steps GROUP BY g, pos),
+folds AS (
+  SELECT g, pos, 1 AS k, now AS d, coalesce(path, []) AS path FROM placed LEFT JOIN proofs USING (g, pos)
+  UNION ALL SELECT g, pos, k + 1, sha256(CASE WHEN path[k].sibling IS NULL THEN d WHEN path[k].odd = 1 THEN path[k].sibling || d ELSE d || path[k].sibling END), path
+  FROM folds WHERE k <= len(path)),
+ends AS (SELECT g, pos, d AS folded_root, sha256(coalesce(array_to_string(list_filter(list_transform(path, lambda x: x.sibling), lambda x: x IS NOT NULL), ''), '')) AS proof_sha256 FROM folds WHERE k = len(path) + 1)
+SELECT doc_id, leaf, subroot, a.d AS root, proof_sha256, folded_root, folded_root = a.d AS verified
+FROM placed JOIN ends USING (g, pos) JOIN subroots r USING (g) JOIN (SELECT d FROM above WHERE size = 1) a ON true
+"""
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def features_sql(name: str, key: str) -> str:
+    """CTEs <name>_words and <name>_grams: the words of each text, and all runs of up to three of them."""
+    grams = " || ".join(f"list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))" for n in (1, 2, 3))
+    return f"""{name}_words AS (SELECT {key} AS id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM {name}),
+{name}_grams AS (SELECT id, unnest({grams}) AS gram FROM {name}_words)"""
+
+
+GRAM_BYTES = "list_transform(regexp_extract_all(hex(encode(gram)), '..'), lambda x: ('0x' || x)::BIGINT)"
+OP12_SQL = f"""
+WITH crc AS {CRC_TABLE},
+{features_sql("documents", "doc_id")},
+{features_sql("benchmark", "item_id")},
+hashed AS (SELECT gram, {crc_sql(GRAM_BYTES)} % 10000 AS bucket FROM (SELECT DISTINCT gram FROM documents_grams UNION SELECT gram FROM benchmark_grams), crc),
+held AS (SELECT id, bucket FROM documents_grams JOIN hashed USING (gram)),
+s AS (SELECT bucket, count(*) AS n FROM held GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM benchmark_grams JOIN hashed USING (gram) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s_all, (SELECT coalesce(sum(n), 0) FROM t) AS t_all),
+gains AS (
+  SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s.n + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket), totals),
+weights AS (SELECT id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM held JOIN gains USING (bucket) GROUP BY id),
+scored AS (
+  SELECT id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || coalesce(id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents_words LEFT JOIN weights USING (id)),
+ranked AS (SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, id) END AS rank, count(*) FILTER (WHERE n_words >= 20) OVER () AS n FROM scored)
+SELECT id AS doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank FROM ranked
+"""
+
+
+def op13_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity_model(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = (
     op1_avi_media, op2_pfair_mix, op3_simhash_groups, op4_line_templates, op5_bpe_roundtrip,
     op6_packed_rows, op7_rendezvous_shards, op8_term_at_a_time, op9_mined_url_rules, op10_byte_cnn,
+    op11_merkle_manifest, op12_importance_resampling, op13_factorization_toxicity,
 )
 
 
@@ -175,4 +272,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_templates": OP4_SQL, "op8_term_at_a_time": OP8_SQL, "op9_mined_url_rules": OP9_SQL}
+    return {"op4_line_templates": OP4_SQL, "op8_term_at_a_time": OP8_SQL, "op9_mined_url_rules": OP9_SQL, "op11_merkle_manifest": OP11_SQL, "op12_importance_resampling": OP12_SQL}
