@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions.dictionaries import BLACKLIST, WHITELIST, Dictionaries
+from quillspark.functions.dictionaries import BLACKLIST, WHITELIST, Dictionaries, ListTables
 from quillspark.functions.text import literals
 from quillspark.operators import pairs as pair_ops
 from quillspark.operators import review
@@ -76,7 +76,10 @@ def learn(spark: SparkSession, args: argparse.Namespace) -> None:
     """Propose names for both lists; a new version is written only with ``--apply``."""
     source = first_existing(spark, args.input or "", f"{args.out}/reviewed")
     lists = read_dictionaries(spark, args.lists) if args.lists else Dictionaries(tuple(BLACKLIST), tuple(WHITELIST))
-    black, white = (spark.range(1).select(F.explode(literals(names)).alias("name")) for names in (lists.blacklist, lists.whitelist))
+    if isinstance(lists, ListTables):
+        black, white = (lists.names.filter(F.col("list") == kind).select("name") for kind in ("blacklist", "whitelist"))
+    else:
+        black, white = (spark.range(1).select(F.explode(literals(names)).alias("name")) for names in (lists.blacklist, lists.whitelist))
     reviewed, chat = read_pairs(spark, source, args.form), chat_of(args)
     if chat is None:
         for kind, found in zip(("blacklist", "whitelist"), workflow.learn(reviewed, black, white), strict=True):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 # Names that are not genes (case-sensitive).
 BLACKLIST = (
     "PCR qPCR RT-PCR RT-qPCR qRT-PCR RNA-seq scRNA-seq ChIP ChIP-seq CLIP CLIP-seq RIP RIP-seq RNAi CRISPR Cas9 TALEN ZFN "
@@ -114,7 +116,17 @@ UNREVIEWED_NOTE = "Not reviewed by LLM (confidence value not recognized)"
 
 @dataclass(frozen=True)
 class Dictionaries:
-    """The lists that feedback extends."""
+    """The lists that feedback extends, as literals."""
 
     blacklist: tuple[str, ...] = field(default=tuple(BLACKLIST))
     whitelist: tuple[str, ...] = field(default=tuple(WHITELIST))
+
+
+@dataclass(frozen=True)
+class ListTables:
+    """The same lists as a table (list, name) of any length, which mentions are joined with."""
+
+    names: DataFrame
+
+
+Lists = Dictionaries | ListTables

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of checkpoints that are known; each belongs to one application alone.
+_own: set[str] = set()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``. Without one, a temporary folder on a local master; on a cluster executors could not reach that, so it is an error."""
@@ -16,11 +19,21 @@ def shared_folder(spark: SparkSession) -> str:
         if folder is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quillspark-"))
-    return context.getCheckpointDir()
+    folder = context.getCheckpointDir()
+    if folder not in _own:
+        _own.add(folder)
+        gone_at_end(spark, folder)
+    return folder
+
+
+def gone_at_end(spark: SparkSession, path: str) -> None:
+    """Have a path deleted when the driver's file system is closed."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint."""
+    """Cut the lineage with a reliable checkpoint, which is deleted when the driver ends."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
@@ -28,8 +41,7 @@ def durable(df: DataFrame) -> DataFrame:
 def new_path(spark: SparkSession, kind: str = "table") -> str:
     """A path of its own in the shared folder; what is written there is deleted when the driver's file system is closed."""
     path = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    gone_at_end(spark, path)
     return path
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.durable import durable
-from quillspark.functions.text import ordered_distinct, strip
+from quillspark.functions.evidence import first_seen, leading
+from quillspark.functions.text import strip
 from quillspark.operators.review import ask, number_rows, unfenced
 
 
@@ -18,12 +19,19 @@ def reviewed_only(reviewed: DataFrame) -> DataFrame:
     return reviewed.withColumn("gene", strip(F.coalesce("gene", F.lit("")))).filter(F.col("gene") != "")
 
 
+def candidates(rows: DataFrame, order: str, kind: str, value: Column, most: int, between: str) -> DataFrame:
+    """gene, n, pmid_count, and the first ``most`` values of a kind. Only distinct values are sent, and of these no more than the first ones are gathered."""
+    seen = durable(first_seen(rows, ["gene"], F.col(order), pmid=F.coalesce(F.col("pmid").cast("string"), F.lit("")), **{kind: F.nullif(value, F.lit(""))}))
+    counts = seen.filter("kind = 'pmid'").groupBy("gene").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pmid_count"))
+    told = counts.join(leading(seen, ["gene"], kind, most), "gene", "left")
+    return told.withColumn(kind, F.coalesce(F.array_join(kind, between), F.lit("")))
+
+
 def non_gene_candidates(reviewed: DataFrame, blacklist: DataFrame, order: str = "idx") -> DataFrame:
     """gene, n, pmid_count, reasons (the first two kept apart by "; ") of names that review found to be no genes and that are not listed."""
     rows = reviewed_only(reviewed).filter(F.col("review_result").contains("non-gene"))
     reason = F.left(F.when(F.col("rationale") != "None", F.col("rationale")), F.lit(150))
-    grouped = rows.groupBy("gene").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.coalesce("pmid", F.lit(""))).alias("pmid_count"), ordered_distinct(F.col(order), reason).alias("reasons"))
-    return grouped.join(blacklist.select(F.col("name").alias("gene")), "gene", "left_anti").withColumn("reasons", F.array_join(F.slice("reasons", 1, 2), "; "))
+    return candidates(rows, order, "reasons", reason, 2, "; ").join(blacklist.select(F.col("name").alias("gene")), "gene", "left_anti")
 
 
 def whitelist_candidates(reviewed: DataFrame, whitelist: DataFrame, least: int = 2, order: str = "idx") -> DataFrame:
@@ -32,9 +40,8 @@ def whitelist_candidates(reviewed: DataFrame, whitelist: DataFrame, least: int =
         F.col("review_result").contains("Confirmed") & ~F.col("review_result").contains("non-gene") & F.col("confidence").contains("Unverified")
     )
     relation = strip(F.replace(F.replace("review_result", F.lit("Confirmed ("), F.lit("")), F.lit(")"), F.lit("")))
-    grouped = rows.groupBy("gene").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.coalesce("pmid", F.lit(""))).alias("pmid_count"), ordered_distinct(F.col(order), relation).alias("relations"))
-    listed = whitelist.select(F.col("name").alias("gene"))
-    return grouped.filter(F.col("n") >= least).join(listed, "gene", "left_anti").withColumn("relations", F.array_join(F.slice("relations", 1, 3), ", "))
+    found = candidates(rows, order, "relations", relation, 3, ", ").filter(F.col("n") >= least)
+    return found.join(whitelist.select(F.col("name").alias("gene")), "gene", "left_anti")
 
 
 def judge_batches(candidates: DataFrame, size: int = 60, instructions: str = "") -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import LEGACY_PREFIXES, SPECIES
-from quillspark.functions.text import lookup, ordered_distinct, strip
+from quillspark.functions.evidence import first_seen, in_order
+from quillspark.functions.text import lookup, strip
 
 #: The arm of a mature miRNA, and marks that keep a row.
 ARM = r"(?:[.-]\d[ap]?)?"
@@ -60,28 +61,25 @@ def normalized(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("mirna_norm", normalize_mirna(F.col("mirna"), F.col("species"))).withColumn("gene_norm", normalize_gene(F.col("gene")))
 
 
-def modal(value: Column) -> Column:
-    """Aggregate: the most frequent non-empty value, the smallest on a tie; empty without values."""
-    return F.coalesce(F.mode(F.nullif(value, F.lit("")), True), F.lit(""))
-
-
 def display_name(norm: Column, variants: Column) -> Column:
     others = F.array_sort(F.array_except(variants, F.array(norm)))
     return F.when(F.size(others) > 0, F.concat(norm, F.lit(" ("), F.array_join(others, ", "), F.lit(")"))).otherwise(norm)
 
 
 def merge_pairs(pairs: DataFrame, order: str = "idx") -> DataFrame:
-    """One row for each species, normal miRNA and gene: merged evidence in input order, number of PMIDs, modal relation, display names."""
-    o = F.col(order)
-    merged = pairs.groupBy("species", "mirna_norm", "gene_norm").agg(
-        F.collect_set("mirna").alias("ms"), F.collect_set("gene").alias("gs"), modal(F.col("relation_type")).alias("relation_type"),
-        ordered_distinct(o, F.col("sentence")).alias("sentences"), ordered_distinct(o, F.col("title")).alias("titles"),
-        ordered_distinct(o, F.col("pmid")).alias("pmids"), ordered_distinct(o, F.col("doi")).alias("dois"),
-    )
+    """One row for each species, normal miRNA and gene: merged evidence in input order, number of PMIDs, modal relation, display names.
+
+    The distinct values of a group are found first, each with its first order and its rows; only these meet in one row, which has to hold them anyway.
+    """
+    keys = ("species", "mirna_norm", "gene_norm")
+    told = lambda c: F.nullif(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(""))
+    evidence = {kind: told(c) for kind, c in (("sentences", "sentence"), ("titles", "title"), ("pmids", "pmid"), ("dois", "doi"), ("relation", "relation_type"))}
+    seen = first_seen(pairs, keys, F.col(order), ms=F.col("mirna"), gs=F.col("gene"), **evidence)
+    most = F.min(F.when(F.col("kind") == "relation", F.struct((-F.col("n")).alias("less"), "value")))["value"]
+    merged = seen.groupBy(*keys).agg(most.alias("relation"), *[in_order(kind).alias(kind) for kind in ("ms", "gs", "sentences", "titles", "pmids", "dois")])
     return merged.select(
-        "species", "mirna_norm", "gene_norm",
-        display_name(F.col("mirna_norm"), F.col("ms")).alias("mirna"), display_name(F.col("gene_norm"), F.col("gs")).alias("gene"),
-        F.size("pmids").alias("pmid_count"), "relation_type",
+        *keys, display_name(F.col("mirna_norm"), F.col("ms")).alias("mirna"), display_name(F.col("gene_norm"), F.col("gs")).alias("gene"),
+        F.size("pmids").alias("pmid_count"), F.coalesce("relation", F.lit("")).alias("relation_type"),
         F.array_join("sentences", " | ").alias("sentences"), F.array_join("titles", " | ").alias("titles"),
         F.array_join("pmids", ", ").alias("pmids"), F.array_join("dois", ", ").alias("dois"),
     )

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import strip
+from quillspark.functions.text import built_once, let, strip
 
+# The months, and the patterns of header, author and identifier lines below.
 MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
 
 
-def split_records(files: DataFrame, id_col: str = "file_id", content_col: str = "content", least: int = 50) -> DataFrame:
-    """file_id, abstract_index (from 1), block: records start at lines like ``12. Word``; short ones are dropped."""
-    content = F.regexp_replace(content_col, "\r\n?", "\n")
-    parts = files.select(F.col(id_col), F.posexplode(F.split(content, r"(?U)\n(?=\d+\.\s+\w)", -1)).alias("part", "raw"))
-    blocks = parts.withColumn("block", strip(F.col("raw"))).filter(F.length("block") > least)
-    order = Window.partitionBy(id_col).orderBy("part")
-    return blocks.select(id_col, F.row_number().over(order).alias("abstract_index"), "block")
+#: Characters that a block must have more of (fixed value).
+LEAST = 50
+
+
+def blocks_of(content: Column, least: int = LEAST) -> Column:
+    """The stripped records of a text as an array: they start at lines like ``12. Word``; short ones are dropped."""
+    parts = F.split(F.regexp_replace(content, "\r\n?", "\n"), r"(?U)\n(?=\d+\.\s+\w)", -1)
+    return F.filter(F.transform(parts, strip), lambda b: F.length(b) > least)
+
+
+def split_records(files: DataFrame, id_col: str = "file_id", content_col: str = "content", least: int = LEAST) -> DataFrame:
+    """file_id, abstract_index (from 1), block. A file's records are numbered where they lie: nothing is shuffled."""
+    found = files.select(F.col(id_col), F.posexplode(blocks_of(F.col(content_col), least)).alias("part", "block"))
+    return found.select(id_col, (F.col("part") + 1).alias("abstract_index"), "block")
 
 
 def pmid_of(block: Column) -> Column:
@@ -50,20 +58,26 @@ def title_of(block: Column) -> Column:
     """
     start = F.struct(F.lit(0).alias("n"), F.lit(False).alias("past"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("title"))
 
-    def step(acc: Column, raw: Column) -> Column:
-        line = strip(raw)
+    def seen(acc: Column, line: Column) -> Column:
         first, blank = acc["n"] == 0, line == ""
         header = ~acc["past"] & (first | (~blank & is_journal_line(line)))
         ends = line.rlike(r"(?U)\(\d+\)|@") | line.rlike(r"(?i)\A(Author info|DOI|PMID|PMCID|Conflict)")
-        stop = ~header & F.when(blank, F.size(acc["title"]) > 0).otherwise(ends)
-        take = ~header & ~blank & ~ends & ~acc["done"]
+        return F.struct(line.alias("line"), header.alias("header"), (line == "").alias("blank"), (~header & ~blank & ends).alias("ends"))
+
+    def next_state(acc: Column, x: Column) -> Column:
+        stop = ~x["header"] & F.when(x["blank"], F.size(acc["title"]) > 0).otherwise(x["ends"])
+        take = ~x["header"] & ~x["blank"] & ~x["ends"] & ~acc["done"]
         return F.struct(
             (acc["n"] + 1).alias("n"),
-            (acc["past"] | ~header).alias("past"),
+            (acc["past"] | ~x["header"]).alias("past"),
             (acc["done"] | stop).alias("done"),
-            F.when(take, F.concat(acc["title"], F.array(line))).otherwise(acc["title"]).alias("title"),
+            F.when(take, F.concat(acc["title"], F.array(x["line"]))).otherwise(acc["title"]).alias("title"),
         )
 
+    def step(acc: Column, raw: Column) -> Column:
+        # each line is looked at once, and no more when the title is there
+        return F.when(acc["done"], acc).otherwise(let(let(strip(raw), lambda line: seen(acc, line)), lambda x: next_state(acc, x)))
+
     lines = F.split(block, "\n", -1)
     return F.aggregate(lines, start, step, lambda acc: F.when(F.size(acc["title"]) > 0, F.regexp_replace(F.array_join(acc["title"], " "), r"\.+\z", "")))
 
@@ -72,18 +86,28 @@ def body_of(block: Column) -> Column:
     """The first paragraph of lines that are no metadata, numbering or authors, joined by spaces."""
     start = F.struct(F.lit(False).alias("done"), F.array().cast("array<string>").alias("body"))
 
-    def step(acc: Column, raw: Column) -> Column:
-        line = strip(raw)
+    def seen(line: Column) -> Column:
         skip = line.rlike(r"(?i)\A(DOI|PMID|PMCID|Conflict|Author info)") | line.rlike(r"(?U)\(\d+\).*@|\A\d+\.\s")
         author = line.rlike(r"(?U)\(\d+\)|\A[A-Z][a-z]+ [A-Z]\.?$")
-        stop = ~skip & (line == "") & (F.size(acc["body"]) > 0)
-        take = ~acc["done"] & ~skip & (line != "") & ~author
-        return F.struct((acc["done"] | stop).alias("done"), F.when(take, F.concat(acc["body"], F.array(line))).otherwise(acc["body"]).alias("body"))
+        return F.struct(line.alias("line"), (line == "").alias("blank"), skip.alias("skip"), author.alias("author"))
+
+    def next_state(acc: Column, x: Column) -> Column:
+        stop = ~x["skip"] & x["blank"] & (F.size(acc["body"]) > 0)
+        take = ~x["skip"] & ~x["blank"] & ~x["author"]
+        return F.struct((acc["done"] | stop).alias("done"), F.when(take, F.concat(acc["body"], F.array(x["line"]))).otherwise(acc["body"]).alias("body"))
+
+    def step(acc: Column, raw: Column) -> Column:
+        return F.when(acc["done"], acc).otherwise(let(let(strip(raw), seen), lambda x: next_state(acc, x)))
 
     return F.aggregate(F.split(block, "\n", -1), start, step, lambda acc: F.array_join(acc["body"], " "))
 
 
+@built_once
+def metadata_columns(block_col: str) -> tuple[Column, ...]:
+    block = F.col(block_col)
+    return pmid_of(block).alias("pmid"), doi_of(block).alias("doi"), title_of(block).alias("title"), body_of(block).alias("body")
+
+
 def with_metadata(blocks: DataFrame, block_col: str = "block") -> DataFrame:
     """pmid, doi, title and body of each block, beside its columns."""
-    block = F.col(block_col)
-    return blocks.select("*", pmid_of(block).alias("pmid"), doi_of(block).alias("doi"), title_of(block).alias("title"), body_of(block).alias("body"))
+    return blocks.select("*", *metadata_columns(block_col))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from http.client import HTTPException
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -27,12 +28,15 @@ def single_prompt(row: DataFrame | None = None, instructions: str = "") -> Colum
     return F.concat(asked, F.lit(f"\n\n{instructions}" if instructions else ""))
 
 
-def review_batches(pending: DataFrame, size: int = 5, instructions: str = "") -> DataFrame:
-    """batch, n, ids, prompt: pairs in batches by their running number idx, without one task for all.
+def in_batches(pending: DataFrame, size: int = 5) -> DataFrame:
+    """batch (from 0) beside pending pairs: ``size`` in each but the last, in the order of idx, numbered among the pending ones without one task for all."""
+    numbered = number_rows(pending.drop("batch"), "idx", name="_no")
+    return numbered.withColumn("batch", F.expr(f"(_no - 1) div {size}")).drop("_no")
 
-    Batches follow idx: pairs idx = batch*size+1 to (batch+1)*size that are pending, so a rerun asks the same questions.
-    """
-    numbered = pending.withColumn("batch", F.floor((F.col("idx") - 1) / size))
+
+def review_batches(pending: DataFrame, size: int = 5, instructions: str = "") -> DataFrame:
+    """batch, n, ids, prompt: pending pairs in full batches; those that have their batch already (in_batches) keep it."""
+    numbered = pending if "batch" in pending.columns else in_batches(pending, size)
     entry = F.format_string("miRNA: %s\nGene: %s\nSpecies: %s\nSentence: \"%s\"\n", "mirna", "gene", F.coalesce("species", F.lit(NEUTRAL)), "sentence")
     grouped = numbered.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("idx", entry.alias("entry")))).alias("es"))
     n = F.size("es")
@@ -145,7 +149,7 @@ def ask(batches: DataFrame, reviewer: Callable[[str], str | None], retries: int
                 answer = reviewer(prompt)
             except PermissionError:
                 raise
-            except (OSError, ValueError):
+            except (OSError, ValueError, HTTPException):  # an answer that was cut off is none
                 continue
             if answer is not None:
                 return answer

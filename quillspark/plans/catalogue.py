@@ -47,7 +47,7 @@ def mentioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.near_pairs(pairs.best_occurrences(pairs.pair_candidates(mentioned(spark, sf_dir))))
+    return pairs.near_pairs(pairs.best_occurrences(mentioned(spark, sf_dir)))
 
 
 def mined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +239,10 @@ def species_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- pairs
 
 
+def names() -> tuple[Column, Column]:
+    return F.col("best.m.name").alias("mirna"), F.col("best.g.name").alias("gene")
+
+
 @query("SELECT DISTINCT k, m AS mirna, g AS gene FROM combos")
 def pair_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.pair_candidates(mentioned(spark, sf_dir)).select("k", F.col("m").alias("mirna"), F.col("g").alias("gene"))
@@ -246,27 +250,23 @@ def pair_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT k, m AS mirna, g AS gene, sd::INT AS sd, m_s::INT AS m_start, g_s::INT AS g_start FROM best WHERE sd <= 1")
 def pair_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = pairs.best_occurrences(pairs.pair_candidates(mentioned(spark, sf_dir))).filter("best.sd <= 1")
-    return best.select("k", F.col("m").alias("mirna"), F.col("g").alias("gene"), "best.sd", F.col("best.m.start").alias("m_start"), F.col("best.g.start").alias("g_start"))
+    best = pairs.best_occurrences(mentioned(spark, sf_dir))
+    return best.select("k", *names(), "best.sd", F.col("best.m.start").alias("m_start"), F.col("best.g.start").alias("g_start"))
 
 
 @query("SELECT k, m AS mirna, g AS gene, cd::INT AS cd FROM near")
 def pair_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near(spark, sf_dir).select("k", F.col("m").alias("mirna"), F.col("g").alias("gene"), F.abs(F.col("best.m.start") - F.col("best.g.start")).alias("cd"))
+    return near(spark, sf_dir).select("k", *names(), F.abs(F.col("best.m.start") - F.col("best.g.start")).alias("cd"))
 
 
 @query("SELECT k, m AS mirna, g AS gene, sentence FROM told")
 def pair_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = pairs.evidence_sentence(block(), F.col("sentences"), F.col("best"), F.col("m"), F.col("g"))
-    return near(spark, sf_dir).select("k", F.col("m").alias("mirna"), F.col("g").alias("gene"), said.alias("sentence"))
+    return near(spark, sf_dir).select("k", *names(), pairs.evidence(F.col("best"), F.col("told")).alias("sentence"))
 
 
 @query("SELECT k, m AS mirna, g AS gene, crowded, explicit FROM told")
 def pair_crowded_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near(spark, sf_dir).select(
-        "k", F.col("m").alias("mirna"), F.col("g").alias("gene"), pairs.is_crowded(F.col("best"), F.col("all_m"), F.col("all_g")).alias("crowded"),
-        pairs.is_explicit(block(), F.col("best"), F.col("m"), F.col("g")).alias("explicit"),
-    )
+    return near(spark, sf_dir).select("k", *names(), "told.crowded", pairs.is_explicit(F.col("best"), F.col("told")).alias("explicit"))
 
 
 @query(f"SELECT k, sid, {RELATION.format('sentence')} AS relation FROM said")
@@ -333,7 +333,7 @@ def review_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mined(spark, sf_dir).filter(review.needs_review(F.col("confidence"), F.col("relation_type"))).select("idx", review.single_prompt().alias("prompt"))
 
 
-@query(f"""SELECT ((idx - 1) // 5)::BIGINT AS batch, count(*)::INT AS n, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids FROM pairs WHERE {UNSURE} GROUP BY 1""")
+@query(f"""SELECT batch, count(*)::INT AS n, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids FROM (SELECT idx, (row_number() OVER (ORDER BY idx) - 1) // 5 AS batch FROM pairs WHERE {UNSURE}) GROUP BY batch""")
 def review_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     unsure = mined(spark, sf_dir).filter(review.needs_review(F.col("confidence"), F.col("relation_type")))
     return review.review_batches(unsure).select("batch", "n", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
@@ -541,9 +541,9 @@ def gene_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- feedback
 
 
-@query(f"""SELECT gene, n, pmid_count, array_to_string(rs[1:2], '; ') AS reasons FROM (SELECT gene, count(*) AS n, count(DISTINCT coalesce(pmid, '')) AS pmid_count FROM reviewed WHERE contains(review_result, 'non-gene') GROUP BY gene)
+@query(f"""SELECT gene, n, pmid_count, coalesce(array_to_string(rs[1:2], '; '), '') AS reasons FROM (SELECT gene, count(*) AS n, count(DISTINCT coalesce(pmid, '')) AS pmid_count FROM reviewed WHERE contains(review_result, 'non-gene') GROUP BY gene)
     LEFT JOIN (SELECT gene, list(reason ORDER BY f) AS rs FROM (SELECT gene, rationale[1:150] AS reason, min(idx) AS f FROM reviewed WHERE contains(review_result, 'non-gene') AND rationale NOT IN ('', 'None') GROUP BY ALL) GROUP BY gene) USING (gene)
-    WHERE gene NOT IN ({quoted(BLACKLIST)})""".replace("array_to_string(rs[1:2], '; ')", "coalesce(array_to_string(rs[1:2], '; '), '')"))
+    WHERE gene NOT IN ({quoted(BLACKLIST)})""")
 def nongene_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feedback.non_gene_candidates(reviewed(spark, sf_dir), names_table(spark, BLACKLIST))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.dictionaries import Dictionaries
+from quillspark.functions.dictionaries import Dictionaries, Lists
 from quillspark.functions.durable import durable
 from quillspark.operators import feedback, geneids, normalize, pairs, review
 from quillspark.sources.abstracts import append_verdicts, read_verdicts
@@ -15,7 +15,7 @@ from quillspark.sources.abstracts import append_verdicts, read_verdicts
 Reviewer = Callable[[str], str | None]
 
 
-def extract_pairs(abstracts: DataFrame, lists: Dictionaries = Dictionaries(), order: tuple[str, ...] = ("file_id", "abstract_index")) -> DataFrame:
+def extract_pairs(abstracts: DataFrame, lists: Lists = Dictionaries(), order: tuple[str, ...] = ("file_id", "abstract_index")) -> DataFrame:
     """The pairs table, numbered by abstract, miRNA and gene. ``abstracts``: block and metadata."""
     found = pairs.mine_pairs(pairs.with_mentions(abstracts, lists)).drop("block", "body")
     return review.number_rows(durable(found), *order, "m_ord", "g_ord").drop("m_ord", "g_ord")
@@ -51,9 +51,9 @@ def review_into(
     """
     spark = found.sparkSession
     if reviewer is not None:
-        todo = durable(unanswered(found, read_verdicts(spark, path)))
-        for part in review.rounds(todo.withColumn("batch", F.expr(f"(idx - 1) div {size}")), save_every):
-            append_verdicts(answered(part.drop("batch"), reviewer, size, instructions, single), path)
+        todo = durable(review.in_batches(unanswered(found, read_verdicts(spark, path)), size))
+        for part in review.rounds(todo, save_every):
+            append_verdicts(answered(part, reviewer, size, instructions, single), path)
     return review.merge_verdicts(found, read_verdicts(spark, path))
 
 

@@ -7,8 +7,9 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions.dictionaries import Dictionaries
-from quillspark.operators.records import split_records, with_metadata
+from quillspark.functions.dictionaries import Dictionaries, Lists, ListTables
+from quillspark.operators.records import with_metadata
+from quillspark.sources.splits import read_records
 
 #: Columns of the pairs table by their names in exchanged files.
 PAIR_COLUMNS = {
@@ -19,9 +20,8 @@ PAIR_COLUMNS = {
 
 
 def read_abstracts(spark: SparkSession, path: str) -> DataFrame:
-    """Records with metadata from UTF-8 text files: file_id (path), abstract_index, block, pmid, doi, title, body."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file_id"), F.col("value").alias("content"))
-    return with_metadata(split_records(files))
+    """Records with metadata from UTF-8 text files of any size: file_id (path), abstract_index, block, pmid, doi, title, body."""
+    return with_metadata(read_records(spark, path))
 
 
 def read_pairs(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
@@ -39,11 +39,16 @@ def write_table(df: DataFrame, path: str, form: str = "parquet", exchanged: bool
     df.select(*[F.col(c).alias(back.get(c, c)) for c in df.columns]).write.mode("overwrite").format(form).options(**options).save(path)
 
 
-def read_dictionaries(spark: SparkSession, path: str) -> Dictionaries:
-    """The current version of both lists (list, name). They are small: a few hundred names, at most 100,000."""
-    rows = spark.read.parquet(path).select("list", "name").distinct().limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("the lists are too long to be literals")
+#: Longer lists are joined as tables: expressions cannot hold them.
+MOST_LITERALS = 5000
+
+
+def read_dictionaries(spark: SparkSession, path: str) -> Lists:
+    """The current version of both lists (list, name): literals if they are short, else a table."""
+    names = spark.read.parquet(path).select("list", "name").distinct()
+    rows = names.limit(MOST_LITERALS + 1).collect()
+    if len(rows) > MOST_LITERALS:
+        return ListTables(names)
     return Dictionaries(*(tuple(sorted(r.name for r in rows if r.list == kind)) for kind in ("blacklist", "whitelist")))
 
 

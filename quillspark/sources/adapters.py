@@ -5,6 +5,7 @@ Adapters are picklable callables for ``review.ask``, ``feedback.judge`` and ``ge
 
 from __future__ import annotations
 
+import http.client
 import json
 import os
 import time
@@ -51,8 +52,8 @@ class ChatReviewer:
                 if error.code == 401:
                     raise PermissionError("the key was refused") from error
                 rest = self.wait * attempt if error.code == 429 else self.pause
-            except (OSError, ValueError, KeyError, IndexError, TypeError):
-                pass
+            except (OSError, ValueError, KeyError, IndexError, TypeError, http.client.HTTPException):
+                pass  # cut-off answers are tried again like all others
             if attempt < self.tries:
                 time.sleep(rest)
         return None
@@ -77,7 +78,7 @@ class HttpLookup:
             request = urllib.request.Request(self.address.format(urllib.parse.quote(term)), headers={"User-Agent": "Mozilla/5.0"})
             with urllib.request.urlopen(request, timeout=self.timeout) as answer:
                 return answer.read().decode(self.encoding, "replace")
-        except OSError:
+        except (OSError, http.client.HTTPException):
             return None
         finally:
             time.sleep(self.pause)

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillspark.functions.dictionaries import Dictionaries
+from quillspark.functions.dictionaries import Dictionaries, Lists
 from quillspark.operators.pairs import mine_pairs, with_mentions
 from quillspark.operators.records import split_records, with_metadata
 
 
-def mine_files(files: DataFrame, lists: Dictionaries = Dictionaries()) -> DataFrame:
+def mine_files(files: DataFrame, lists: Lists = Dictionaries()) -> DataFrame:
     """Pairs from file_id, content rows."""
     return mine_pairs(with_mentions(with_metadata(split_records(files)), lists))
 
