@@ -55,7 +55,7 @@ def as_words(text: bytes) -> bytes:
     return text.translate(_WORDS)
 
 
-def cut(words: bytes, size: int = CHUNK) -> Iterator[tuple[bytes, int]]:
+def cut(words: bytes, size: int) -> Iterator[tuple[bytes, int]]:
     """Chunks of a text and how many of their bytes they own: cut at spaces, with the next words carried behind."""
     start = 0
     while start < len(words):
@@ -160,7 +160,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches, 2, rows=1):
             for i, text in enumerate(utf8_texts(batch.column(2))):
-                found = list(cut(as_words(text)))
+                found = list(cut(as_words(text), CHUNK))
                 for start in range(0, len(found), 64):
                     part = found[start : start + 64]
                     where = pa.array([i] * len(part))

@@ -227,9 +227,9 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features_sql(name: str, key: str) -> str:
     """CTEs <name>_words and <name>_grams: the words of each text, and all runs of up to three of them."""
-    grams = " || ".join(f"list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))" for n in (1, 2, 3))
     return f"""{name}_words AS (SELECT {key} AS id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM {name}),
-{name}_grams AS (SELECT id, unnest({grams}) AS gram FROM {name}_words)"""
+{name}_runs AS (SELECT id, x, lead(x) OVER own AS y, lead(x, 2) OVER own AS z FROM (SELECT id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM {name}_words) WINDOW own AS (PARTITION BY id ORDER BY i)),
+{name}_grams AS (SELECT id, x AS gram FROM {name}_runs UNION ALL SELECT id, x || ' ' || y FROM {name}_runs WHERE y IS NOT NULL UNION ALL SELECT id, x || ' ' || y || ' ' || z FROM {name}_runs WHERE z IS NOT NULL)"""
 
 
 GRAM_BYTES = "list_transform(regexp_extract_all(hex(encode(gram)), '..'), lambda x: ('0x' || x)::BIGINT)"

@@ -109,8 +109,11 @@ class FactorizationMachine:
     def logits(self, windows: np.ndarray) -> np.ndarray:
         return np.concatenate([self.parts(windows[i : i + AT_ONCE])[2] for i in range(0, len(windows), AT_ONCE)])
 
-    def fit(self, examples: list[np.ndarray], target: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.01, decay: float = 20.0) -> None:
-        """Adam on the cross-entropy of each example's worst window. ``examples``: windows of terms; only telling ones get weights."""
+    def fit(self, examples: list[np.ndarray], target: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.01, decay: float = 20.0, loose: float = 0.5) -> None:
+        """Adam on the cross-entropy of each example's worst window. ``examples``: windows of terms; only telling ones get weights.
+
+        ``decay`` draws weights to where they start from, ``loose`` factors to zero.
+        """
         rng = np.random.default_rng(self.seed)
         odds = telling_terms(examples, target)
         told = np.flatnonzero(odds)
@@ -122,6 +125,7 @@ class FactorizationMachine:
         self.table[0] = 0
         prior = self.table.copy()
         prior[:, 1:] = 0
+        drawn = np.array([decay] + [loose] * self.factors, dtype=np.float32) / len(examples)
         share = float(target.mean())
         self.bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         windows, sizes = place[np.concatenate(examples)], np.array([len(w) for w in examples])
@@ -139,7 +143,7 @@ class FactorizationMachine:
                 grads = np.empty_like(rows)
                 grads[:, :, 0] = d[:, None]
                 grads[:, :, 1:] = d[:, None, None] * (total[:, None, 1:] - rows[:, :, 1:])
-                g = decay / len(examples) * (self.table - prior)
+                g = drawn * (self.table - prior)
                 np.add.at(g, x, grads)
                 g[0] = 0
                 step += 1
