@@ -446,6 +446,27 @@ def test_near_copies_equal_brute_force_jaccard(spark, hard, monkeypatch):
     assert ids[0] == 1 and ids[1] == ids[2] == ids[4] == 0 and ids[3] == 1 and ids[None] == 2
 
 
+def test_near_copies_compare_by_key(spark):
+    """A chain of texts that are alike by four tenths each: connected through keys, but few of them ever meet, and all stay."""
+    rng = random.Random(3)
+    words, texts = [f"w{rng.randrange(1 << 30)}" for _ in range(64)], []
+    for _ in range(2000):
+        texts.append(" ".join(words))
+        words = words[26:] + [f"w{rng.randrange(1 << 30)}" for _ in range(26)]
+    frame = spark.createDataFrame(rows(*texts), SCHEMA)
+    sets = near_copies.with_sets(frame).select(F.col("doc_id").alias("set"), "bands")
+    lists = near_copies.key_lists(sets)
+    sizes = [r.n for r in lists.groupBy("k", "band").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(n * (n - 1) // 2 for n in sizes) < 4 * len(texts) and len(sizes) > 200
+    assert near_copies.without_near_copies(frame).count() == len(texts)
+
+
+def test_equal_id_and_text_keep_one_row_for_good(spark):
+    made = [(1, "a b c d e f", "en"), (1, "a b c d e f", "fr"), (2, "other words here", None)]
+    found = {tuple(near_copies.without_near_copies(spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(2)).orderBy("doc_id").collect()) for order in (made, made[::-1])}
+    assert len(found) == 1 and len(found.pop()) == 2
+
+
 def test_repeated_ids_with_different_texts_stay(spark):
     first, second = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
     frame = spark.createDataFrame(rows(first, start=7) + rows(second, start=7) + rows(second, start=7) + rows(first, start=8), SCHEMA)
