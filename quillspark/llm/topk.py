@@ -5,7 +5,7 @@ blocks, each with a posting list of (row, weight) for every term; for one query
 its terms scatters weight products along the term's postings into a dense array of scores.
 Partition selection takes the best k of a block; blocks are merged by ranking.
 
-Every query block meets every candidate block once (an equi-join of block rows on the query
+Blocks hold so many rows that their vectors fit a bound of bytes. Every query block meets every candidate block once (an equi-join of block rows on the query
 block's number, with candidates replicated for each query block; no cross join, nothing on the
 driver). Memory is bounded by one block of each.
 
@@ -38,6 +38,8 @@ CANDIDATE_BLOCK = 8192
 LEAST_BLOCK = 2048
 #: Query vectors are broadcast up to this many bytes; beyond, queries and candidates meet in a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: A block's vectors take no more than this, unless a single one does: rows of long vectors make small blocks.
+BLOCK_BYTES = 64 << 20
 MOST_PARTS = 100_000
 LONG = (1 << 63) - 1
 
@@ -118,6 +120,11 @@ def rank_key(score: int) -> tuple[int, bytes | None, int]:
     return (1, ordered, LONG) if score > 0 else (-1, bytes(255 - b for b in ordered), -LONG - 1)
 
 
+def block_count(rows: int, components: int, most: int) -> int:
+    """Blocks of about ``most`` rows at most, and of half of BLOCK_BYTES: rows are dealt by hash, so some blocks get more."""
+    return max(1, -(-rows // most), -(-components * 16 // BLOCK_BYTES))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k candidates of the highest integer inner product for each query."""
     spark = vectors.sparkSession
@@ -129,9 +136,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64,
     candidates = durable(own(vectors).withColumn("row", F.monotonically_increasing_id()))
     asked = durable(own(queries).groupBy("id").agg(F.min("w").alias("w")))
     n_queries, numbers = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("w") + 2), F.lit(0))).first()
-    n_candidates, cores = candidates.count(), spark.sparkContext.defaultParallelism
-    query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    candidate_blocks = max(1, -(-n_candidates // CANDIDATE_BLOCK), min(3 * cores, -(-n_candidates // LEAST_BLOCK)))
+    cores = spark.sparkContext.defaultParallelism
+    measured = lambda df: df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("w").cast("long")), F.lit(0))).first()
+    n_candidates, components = measured(candidates)
+    query_blocks = block_count(n_queries, numbers, QUERY_BLOCK)
+    candidate_blocks = max(block_count(n_candidates, components, CANDIDATE_BLOCK), min(3 * cores, -(-n_candidates // LEAST_BLOCK)))
     pack = F.collect_list(F.struct("id", "w")).alias("rows")
     numbered = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("q")).agg(pack).withColumnRenamed("rows", "queries")

@@ -4,9 +4,11 @@ A URL is a set of items: all labels of its host, segments of its path and parame
 query, and its fragment. FP-growth over the items of labelled pages, with the label as one more
 item, gives rules "these items: block"; those of enough support and confidence are kept, without
 the ones that contain a kept rule. Items with too few bad pages for any rule are left out before,
-and of items that lie in the same pages one stands for all until the rules are there: neither
-changes the rules, but both keep baskets of long URLs narrow. Rules match through an inverted index: each
-is posted under its rarest item and compared in full only with URLs that hold that item.
+and of items that lie in the same pages one stands for all, in the rules, too: neither
+changes what is blocked, but both keep baskets of long URLs narrow. The itemsets of FP-growth are bounded
+by the support alone: labelled URLs that share many items in many different ways have many itemsets.
+Rules match through an inverted index: each is posted under its rarest item and compared in full only
+with URLs that hold that item, or another one of its group.
 
 A listed rule overrides what was mined. Null URLs and those without ``://`` have an empty host and
 path and no items, so they are allowed. Pages without a label are not learned from; a page with
@@ -73,8 +75,11 @@ def listed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
     return F.array_max(F.array(*fits).cast("array<struct<length:int,rule:string,verdict:string>>"))
 
 
-def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, count: int = COUNT, confidence: float = CONFIDENCE) -> DataFrame:
-    """items, confidence, key (the rarest item) of the rules that block. ``pages``: page_id, url; ``labels``: doc_id, quality, toxic."""
+def grouped_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, count: int = COUNT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """items, confidence, key (the rarest item) of the rules that block, over items that each stand for a group; and the groups (rep, item).
+
+    ``pages``: page_id, url; ``labels``: doc_id, quality, toxic. Groups are never multiplied out, however many items they have.
+    """
     bad = F.coalesce(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)), F.lit(0))
     marks = labels.groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad"))
     learned = durable(pages.join(marks, "page_id").select(F.monotonically_increasing_id().alias("row"), items_of(F.col("url")).alias("items"), "bad"))
@@ -100,17 +105,32 @@ def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, c
     within = (F.size("i") < F.size("o")) & (F.size(F.array_except("i", "o")) == 0)
     extra = outer.join(inner, "first").filter(within).select(F.col("o").alias("items")).distinct()
     kept = rules.join(extra, "items", "left_anti")
-    choices = kept.select("items", "confidence", F.explode("items").alias("rep")).join(same, "rep").groupBy("items", "confidence").agg(F.collect_list("members").alias("choices"))
+    rarest = kept.select("items", "confidence", F.explode("items").alias("item")).join(stats.select("item", "freq"), "item")
+    found = durable(rarest.groupBy("items").agg(F.max("confidence").alias("confidence"), F.min(F.struct("freq", "item"))["item"].alias("key")))
+    return found, same.select("rep", F.explode("members").alias("item"))
+
+
+def mined_rules(pages: DataFrame, labels: DataFrame, **options: float) -> DataFrame:
+    """items, confidence, key of the rules that block, spelled out for reading: a rule for each choice among the items that lie in the same pages."""
+    rules, members = grouped_rules(pages, labels, **options)
+    same = members.groupBy("rep").agg(F.collect_list("item").alias("members"))
+    choices = rules.select("items", "confidence", "key", F.explode("items").alias("rep")).join(same, "rep").groupBy("items", "confidence", "key").agg(F.collect_list("members").alias("choices"))
     extended = lambda made, members: F.flatten(F.transform(made, lambda x: F.transform(members, lambda m: F.array_append(x, m))))
     every = F.aggregate("choices", F.array(F.array().cast("array<string>")), extended)
-    kept = choices.select(F.explode(every).alias("items"), "confidence").select(F.array_sort("items").alias("items"), "confidence")
-    rarest = kept.select("items", "confidence", F.explode("items").alias("item")).join(stats.select("item", "freq"), "item")
-    return durable(rarest.groupBy("items").agg(F.max("confidence").alias("confidence"), F.min(F.struct("freq", "item"))["item"].alias("key")))
+    spelled = choices.select(F.explode(every).alias("items"), "confidence").select(F.array_sort("items").alias("items"), "confidence")
+    return durable(spelled.withColumn("key", F.get("items", F.lit(0))))
 
 
-def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """url, rows (of ``urls``), confidence, matched (number of rules) of the distinct urls that a mined rule blocks."""
+def blocked_urls(urls: DataFrame, rules: DataFrame, members: DataFrame | None = None) -> DataFrame:
+    """url, rows (of ``urls``), confidence, matched (number of rules) of the distinct urls that a mined rule blocks.
+
+    With ``members`` (rep, item) a URL holds what its items stand for, so a rule fits by any member of its groups.
+    """
     held = urls.filter(F.col("url").isNotNull()).groupBy("url").agg(F.count(F.lit(1)).alias("rows")).withColumn("own", items_of(F.col("url")))
+    if members is not None:
+        few = members.count() <= MOST_BROADCAST
+        told = held.select("url", "rows", F.explode("own").alias("item")).join(F.broadcast(members) if few else members, "item")
+        held = told.groupBy("url", "rows").agg(F.collect_set("rep").alias("own"))
     index = F.broadcast(rules) if rules.count() <= MOST_BROADCAST else rules
     met = held.select("url", "rows", "own", F.explode("own").alias("key")).join(index, "key")
     fit = met.filter(F.size(F.array_except("items", "own")) == 0)
@@ -120,7 +140,7 @@ def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, labels: DataFrame, listed: Sequence[tuple[str, str, str]], **options: float) -> DataFrame:
     """page_id, host, path, rule (listed), verdict, confidence (of the best mined rule, if any) for every page."""
     own = pages.select("page_id", "url")
-    blocked = blocked_urls(own, mined_rules(own, labels, **options)).select("url", "rows", "confidence")
+    blocked = blocked_urls(own, *grouped_rules(own, labels, **options)).select("url", "rows", "confidence")
     found = even_join(own, blocked, ["url"], "rows", own.count(), F.monotonically_increasing_id(), "left").select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "confidence"
     )

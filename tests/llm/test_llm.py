@@ -761,6 +761,23 @@ def test_top_k_blocks(spark, monkeypatch):
 # --- 9 URL rules
 
 
+def test_top_k_of_long_vectors(spark, monkeypatch):
+    """4096 dimensions: blocks are cut by bytes, and the result is the same."""
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 4 << 20)
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(300, 4096)).round(3)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    weights = np.floor(64 * vectors).astype(np.int64)
+    scores = weights @ weights.T
+    got = topk.top_k(frame, frame.filter("vec_id % 50 = 0"), k=5).orderBy("query_id", "rank").collect()
+    want = []
+    for q in range(0, 300, 50):
+        best = sorted((i for i in range(300) if i != q), key=lambda i: (-scores[q, i], i))[:5]
+        want += [(q, n, i, int(scores[q, i])) for n, i in enumerate(best, 1)]
+    assert [tuple(r) for r in got] == want
+    assert topk.block_count(300, 300 * 4096, 8192) == 5 and topk.block_count(9000, 9000, 8192) == 2 and topk.block_count(0, 0, 8192) == 1
+
+
 def test_url_rules(spark):
     urls = [f"http://{'spam' if i % 4 == 0 else 'good'}.example.net/p{i}/{'x' if i % 2 else 'y'}?q={i % 3}" for i in range(200)]
     urls += [None, "", "no scheme", "HTTPS://A.Example.ORG/es/1#f", "http://example.org/en/12", "http://xexample.org/es/", "ftp://fr.com/fr/?a=1", "http://a.com?x=/de/", "x\nhttp://b.com/de/z", "http://spam.example.net/a/b"]
@@ -813,6 +830,24 @@ def test_url_rules_of_long_urls(spark):
     assert len(met) == 3 and "http://n.org/1" not in met
 
 
+def test_groups_of_items_are_not_multiplied_out(spark):
+    """Three groups of 40 items that lie in the same pages give a few rules, and any member of a group matches."""
+    groups = [[f"{g}{i}" for i in range(40)] for g in "abc"]
+    path = lambda gs: "/".join(x for g in gs for x in groups[g])
+    held = [(0, 1), (1, 2), (0, 2), (0, 1, 2), (0,), (1,), (2,)]
+    urls = [f"http://x.org/{path(held[i % 7])}/u{i}" for i in range(350)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(len(held[i % 7]) < 2), 0) for i in range(350)], "doc_id long, quality int, toxic int")
+    rules, members = url_rules.grouped_rules(pages, labels, confidence=0.9)
+    assert sorted(sorted(x[2] for x in r["items"]) for r in rules.collect()) == [["a", "b"], ["a", "c"], ["b", "c"]]
+    assert members.filter("item LIKE 'p:a%'").count() == 40
+    new = ["http://n.org/a7/b39", "http://n.org/c0/a1/z", "http://n.org/a1/a2/a3", "http://n.org/b1"]
+    found = url_rules.blocked_urls(spark.createDataFrame(list(enumerate(new)), "page_id long, url string"), rules, members)
+    assert {r.url for r in found.collect()} == set(new[:2])
+    out = {r.page_id: r.verdict for r in url_rules.judge_urls(pages, labels, (), confidence=0.9).collect()}
+    assert all((out[i] == "block") == (len(held[i % 7]) > 1) for i in range(350))
+
+
 # --- 10 language ID
 
 
