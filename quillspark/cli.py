@@ -64,10 +64,11 @@ def normalize(spark: SparkSession, args: argparse.Namespace) -> None:
     """Normalise, merge and resolve the reviewed table, or the pairs as mined where there is none."""
     source = first_existing(spark, args.input or "", f"{args.out}/reviewed", f"{args.out}/pairs")
     ids = spark.read.parquet(args.gene_ids) if args.gene_ids else None
-    rice = HttpLookup(args.rice_url, "gb2312") if args.rice_url else None
-    entity = HttpLookup(args.entity_url, pause=0.4) if args.entity_url else None
+    rice = HttpLookup(args.rice_url, "gb2312", pause=0) if args.rice_url else None
+    entity = HttpLookup(args.entity_url, pause=0) if args.entity_url else None
     prior = read_pairs(spark, args.statistics, args.form) if args.statistics else None
-    for name, table in workflow.export_tables(read_pairs(spark, source, args.form), ids, prior, rice, entity).items():
+    lookups = {"workers": args.workers, "per_second": (args.rice_per_second, args.entity_per_second), "saved": f"{args.out}/answers"}
+    for name, table in workflow.export_tables(read_pairs(spark, source, args.form), ids, prior, rice, entity, **lookups).items():
         write_table(table, f"{args.out}/final_{name}", args.form)
     print(f"{source} -> {args.out}/final_groups, final_detail, final_statistics")
 
@@ -118,6 +119,9 @@ def parser() -> argparse.ArgumentParser:
     p = stage("normalize", normalize, remote=False)
     for option in ("--input", "--gene-ids", "--rice-url", "--entity-url", "--statistics"):
         p.add_argument(option)
+    p.add_argument("--workers", type=int, default=1, help="lookups that run at a time")
+    p.add_argument("--rice-per-second", type=float, default=1 / 0.3, help="calls that the rice table gets")
+    p.add_argument("--entity-per-second", type=float, default=1 / 0.4, help="calls that the entity search gets")
     p = stage("learn", learn)
     for option in ("--input", "--lists", "--black-instructions", "--white-instructions"):
         p.add_argument(option)

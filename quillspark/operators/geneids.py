@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import ORGANISMS, STRIP_PREFIXES
-from quillspark.functions.durable import durable
+from quillspark.functions.durable import durable, exists, written
 from quillspark.functions.shipping import ship_package
 from quillspark.functions.text import let, lookup, strip
 
@@ -90,35 +94,90 @@ def id_stats(keys: DataFrame, gene_ids: DataFrame) -> DataFrame:
     return sums.select("*", (F.col("total") - F.col("resolved")).alias("unresolved"), F.round(F.try_divide(F.col("resolved") * 100, F.col("total")), 1).alias("percent"))
 
 
-def answers(terms: DataFrame, lookup: Callable[[str], str | None], workers: int = 1) -> DataFrame:
-    """answer beside species, gene, term. ``workers`` calls run at a time, so a service sees at most ``workers`` calls in a lookup's pause.
+@dataclass(frozen=True)
+class Pace:
+    """A limit of calls per second for one service, shared by ``workers`` tasks.
 
-    Write the result before use: a service must not be asked twice.
+    Time from ``start`` on is cut into slots, so many a second, and task n owns every slot of number n modulo workers. A task waits for a
+    slot of its own before each call, so the service never gets more calls than slots, whatever tasks start late or wait for answers.
+    Machines' clocks must agree.
     """
 
+    per_second: float
+    workers: int
+    start: float
+
+    def slot(self, task: int, after: int) -> int:
+        """Wait for the task's next slot after one; returns its number."""
+        now = time.time()
+        number = max(math.floor((now - self.start) * self.per_second), after) + 1
+        number += (task - number) % self.workers
+        time.sleep(max(0.0, self.start + number / self.per_second - now))
+        return number
+
+
+def answers(terms: DataFrame, lookup: Callable[[str], str | None], workers: int = 1, per_second: float | None = None) -> DataFrame:
+    """answer beside species, gene, term. ``workers`` calls run at a time; with ``per_second`` the service sees no more calls than that.
+
+    Then all tasks run at once (barrier mode, which never runs a task twice side by side). Write the result before use: a service must not be asked twice.
+    """
+    pace = Pace(per_second, workers, time.time()) if per_second else None
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = -1
         for frame in frames:
-            yield frame.assign(answer=[lookup(t) for t in frame["term"]])
+            found = []
+            for term in frame["term"]:
+                if pace:
+                    last = pace.slot(TaskContext.get().partitionId() % workers, last)
+                found.append(lookup(term))
+            yield frame.assign(answer=found)
 
     ship_package(terms.sparkSession)
     dealt = terms.select("species", "gene", "term").repartition(workers)
-    return dealt.mapInPandas(run, "species string, gene string, term string, answer string")
+    return dealt.mapInPandas(run, "species string, gene string, term string, answer string", barrier=pace is not None)
+
+
+SAVED = "service string, term string, answer string"
 
 
-def resolve_ids(groups: DataFrame, rice: Callable[[str], str | None], entity: Callable[[str], str | None], workers: int = 1) -> DataFrame:
+def kept_answers(terms: DataFrame, lookup: Callable[[str], str | None], service: str, saved: str | None, size: int = 1000, **pace) -> DataFrame:
+    """answer beside species, gene, term; null where the lookup failed. ``terms`` must be durable.
+
+    With a path, answers are saved there round by round, ``size`` terms or so in each: a run that breaks off loses the round that it was
+    in, and the next one asks only for what is not on file. Failed lookups are not saved, so they are tried again by the next run.
+    """
+    spark = terms.sparkSession
+    if saved is None:
+        return durable(answers(terms, lookup, **pace))
+    known = lambda: spark.read.schema(SAVED).parquet(saved).filter(F.col("service") == service) if exists(spark, saved) else spark.createDataFrame([], SAVED)
+    todo = written(terms.select("term").distinct().join(known(), "term", "left_anti").select(F.lit("").alias("species"), F.lit("").alias("gene"), "term"))
+    n = max(1, -(-todo.count() // size))
+    for i in range(n):
+        part = todo.filter(F.pmod(F.xxhash64("term"), F.lit(n)) == i)
+        answers(part, lookup, **pace).filter("answer IS NOT NULL").select(F.lit(service).alias("service"), "term", "answer").write.mode("append").parquet(saved)
+    return terms.select("species", "gene", "term").join(known().dropDuplicates(["term"]).select("term", "answer"), "term", "left")
+
+
+def resolve_ids(
+    groups: DataFrame, rice: Callable[[str], str | None], entity: Callable[[str], str | None], workers: int = 1, per_second: tuple[float | None, float | None] = (None, None), saved: str | None = None
+) -> DataFrame:
     """species, gene, rap, msu, ncbi for every gene of a known species; empty where neither service knows it.
 
     Rice genes are looked up by name in the rice table. All others are searched by their terms in turn: a shorter term is only
-    tried for genes that the one before did not find. Each round of answers is made durable before it is used.
+    tried for genes that the one before did not find. ``per_second`` limits the calls of either service; ``saved`` is a path
+    where answers are kept.
     """
     keys = durable(lookup_keys(groups))
     found = rice_ids(F.col("answer"))
-    table = durable(answers(keys.filter("route = 'rice table'").withColumn("term", F.col("gene")), rice, workers))
+    asked = durable(keys.filter("route = 'rice table'").withColumn("term", F.col("gene")))
+    table = kept_answers(asked, rice, "rice table", saved, workers=workers, per_second=per_second[0])
     made = [table.select("species", "gene", found.alias("x")).filter("x IS NOT NULL").select("species", "gene", "x.*")]
     todo = keys.filter("route <> 'rice table'").withColumn("terms", query_variants(F.col("species"), F.col("gene")))
     for n in range(2):
-        asked = durable(answers(todo.withColumn("term", F.get("terms", F.lit(n))).filter("term IS NOT NULL"), entity, workers))
-        hits = asked.select("species", "gene", F.lit("").alias("rap"), F.lit("").alias("msu"), entity_id(F.col("answer")).alias("ncbi")).filter("ncbi IS NOT NULL")
+        asked = durable(todo.withColumn("term", F.get("terms", F.lit(n))).filter("term IS NOT NULL"))
+        told = kept_answers(asked, entity, "entity search", saved, workers=workers, per_second=per_second[1])
+        hits = told.select("species", "gene", F.lit("").alias("rap"), F.lit("").alias("msu"), entity_id(F.col("answer")).alias("ncbi")).filter("ncbi IS NOT NULL")
         made.append(hits)
         todo = todo.join(hits, ["species", "gene"], "left_anti")
     return keys.select("species", "gene").join(reduce(DataFrame.unionByName, made), ["species", "gene"], "left").na.fill("", ["rap", "msu", "ncbi"])

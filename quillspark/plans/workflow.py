@@ -64,14 +64,17 @@ def normalize_pairs(reviewed: DataFrame, gene_ids: DataFrame) -> tuple[DataFrame
     return geneids.attach_ids(merged, gene_ids), detail, normalize.normalize_stats(detail, merged)
 
 
-def export_tables(reviewed: DataFrame, gene_ids: DataFrame | None = None, prior: DataFrame | None = None, rice: Reviewer | None = None, entity: Reviewer | None = None) -> dict[str, DataFrame]:
+def export_tables(
+    reviewed: DataFrame, gene_ids: DataFrame | None = None, prior: DataFrame | None = None, rice: Reviewer | None = None, entity: Reviewer | None = None, **lookups
+) -> dict[str, DataFrame]:
     """The three final tables: "groups" and "detail", numbered and with their colours, and "statistics" with those of the stages before.
 
-    Identifiers come from a table (species, gene, rap, msu, ncbi) or, if there is none, from the two lookups.
+    Identifiers come from a table (species, gene, rap, msu, ncbi) or, if there is none, from the two lookups; ``lookups`` are options of
+    ``geneids.resolve_ids``: workers, limits and where answers are kept.
     """
     detail = durable(normalize.normalized(normalize.kept_pairs(reviewed)))
     merged = durable(normalize.merge_pairs(detail))
-    ids = gene_ids if gene_ids is not None else durable(geneids.resolve_ids(merged, rice or nothing, entity or nothing))
+    ids = gene_ids if gene_ids is not None else durable(geneids.resolve_ids(merged, rice or nothing, entity or nothing, **lookups))
     groups = review.number_rows(geneids.attach_ids(merged, ids).withColumn("_less", -F.col("pmid_count")), "_less", "species", "mirna_norm", "gene_norm", name="no").drop("_less")
     stats = normalize.statistics_rows(normalize.normalize_stats(detail, merged), geneids.id_stats(geneids.lookup_keys(merged), ids), prior)
     return {

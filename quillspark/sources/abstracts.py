@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import Dictionaries, Lists, ListTables
+from quillspark.functions.durable import exists
 from quillspark.operators.records import with_metadata
 from quillspark.sources.splits import read_records
+from quillspark.sources.workbooks import register, write_workbook
 
 #: Columns of the pairs table by their names in exchanged files.
 PAIR_COLUMNS = {
@@ -25,8 +27,10 @@ def read_abstracts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pairs(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
-    """A pairs or reviewed table; columns may have their exchanged names. Whether review columns exist is read from the header."""
+    """A pairs or reviewed table (Parquet, CSV or xlsx); columns may have their exchanged names. Whether review columns exist is read from the header."""
     options = {"header": "true", "multiLine": "true", "escape": '"'} if form == "csv" else {}
+    if form == "xlsx":
+        register(spark)
     found = spark.read.format(form).options(**options).load(path)
     named = found.select(*[F.col(f"`{c}`").alias(PAIR_COLUMNS.get(c, c)) for c in found.columns])
     return named.withColumn("idx", F.col("idx").cast("long")) if "idx" in named.columns else named
@@ -35,8 +39,11 @@ def read_pairs(spark: SparkSession, path: str, form: str = "parquet") -> DataFra
 def write_table(df: DataFrame, path: str, form: str = "parquet", exchanged: bool = False) -> None:
     """Write a result; ``exchanged`` gives columns their exchanged names."""
     back = {v: k for k, v in PAIR_COLUMNS.items()} if exchanged else {}
+    named = df.select(*[F.col(c).alias(back.get(c, c)) for c in df.columns])
+    if form == "xlsx":
+        return write_workbook({"Sheet1": named}, path, {"Sheet1": tuple(c for c in ("#", "no") if c in named.columns)})
     options = {"header": "true", "escape": '"'} if form == "csv" else {}
-    df.select(*[F.col(c).alias(back.get(c, c)) for c in df.columns]).write.mode("overwrite").format(form).options(**options).save(path)
+    named.write.mode("overwrite").format(form).options(**options).save(path)
 
 
 #: Longer lists are joined as tables: expressions cannot hold them.
@@ -62,12 +69,6 @@ def write_dictionaries(lists: DataFrame, folder: str) -> str:
 VERDICTS = "idx long, is_gene boolean, is_target boolean, relevance string, relation_type string, explanation string"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path of any file system exists."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def first_existing(spark: SparkSession, *paths: str) -> str:
     """The first of some paths that exists: the reviewed table, say, else the pairs as mined."""
     for path in paths:

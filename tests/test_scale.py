@@ -5,6 +5,7 @@ import random
 import re
 import threading
 import time
+import zipfile
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.dictionaries import BLACKLIST, RELATION_SIGNALS, WHITELIST, Dictionaries, ListTables
 from quillspark.functions.evidence import first_seen
-from quillspark.operators import feedback, mentions, normalize, pairs, records, review, sentences
+from quillspark.operators import feedback, geneids, mentions, normalize, pairs, records, review, sentences
 from quillspark.plans import workflow
-from quillspark.sources import abstracts, adapters, splits
+from quillspark.sources import abstracts, adapters, splits, workbooks
 
 # --- record reader
 
@@ -270,3 +271,116 @@ def test_cut_off_answer_is_no_answer(spark):
 
     batches = spark.createDataFrame([(1, [1], "p")], "batch long, ids array<long>, prompt string")
     assert [r.response for r in review.ask(batches, broken).collect()] == [None]
+
+
+# --- lookups
+
+
+class Counted(BaseHTTPRequestHandler):
+    """Keeps the time of each call."""
+
+    calls: list = []
+
+    def log_message(self, *_):
+        pass
+
+    def do_GET(self):
+        self.calls.append((time.time(), self.path))
+        body = b"found" if "miss" not in self.path else b""
+        self.send_response(200 if body else 500)
+        self.end_headers()
+        self.wfile.write(body)
+
+
+@pytest.fixture
+def counted():
+    Counted.calls = []
+    server = HTTPServer(("127.0.0.1", 0), Counted)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def test_one_limit_for_a_service(spark, counted):
+    """Four tasks at once, and still no second with more calls than the limit."""
+    terms = spark.range(60).select(F.lit("rice").alias("species"), F.col("id").cast("string").alias("gene"), F.concat(F.lit("t"), "id").alias("term"))
+    found = geneids.answers(terms, adapters.HttpLookup(counted + "/{}", pause=0), workers=4, per_second=20).collect()
+    at = sorted(t for t, _ in Counted.calls)
+    assert len(found) == len(at) == 60 and {r.answer for r in found} == {"found"}
+    assert max(sum(a <= b < a + 0.95 for b in at) for a in at) <= 20 and at[-1] - at[0] < 12
+
+
+def test_slots_are_shared_out():
+    pace = geneids.Pace(1000, 3, time.time())
+    used = {task: [] for task in range(3)}
+    for task in used:
+        last = -1
+        for _ in range(5):
+            last = pace.slot(task, last)
+            used[task].append(last)
+    assert all(n % 3 == task for task, ns in used.items() for n in ns) and all(len(set(ns)) == 5 for ns in used.values())
+
+
+def test_saved_answers_are_not_asked_again(spark, counted, tmp_path):
+    lookup, saved = adapters.HttpLookup(counted + "/{}", pause=0), str(tmp_path / "answers")
+    terms = spark.createDataFrame([("rice", f"g{i}", f"t{i}") for i in range(20)] + [("rice", "h", "t1"), ("rice", "m", "miss")], "species string, gene string, term string")
+    part = terms.filter("term IN ('t1', 't2', 't3')")
+    assert geneids.kept_answers(part, lookup, "s", saved, size=2, workers=2).filter("answer = 'found'").count() == 4 and len(Counted.calls) == 3
+    found = {r.gene: r.answer for r in geneids.kept_answers(terms, lookup, "s", saved, size=5, workers=2).collect()}
+    assert len(Counted.calls) == 21 and found["h"] == found["g1"] == "found" and found["m"] is None
+    geneids.kept_answers(terms, lookup, "s", saved).count()
+    assert len(Counted.calls) == 22  # only the one that failed
+    geneids.kept_answers(part, lookup, "other", saved).count()
+    assert len(Counted.calls) == 25
+
+
+# --- workbooks
+
+
+def test_workbook_round_trip(spark, tmp_path):
+    """Three sheets with fills, read back as they were written; the header probe finds the review column."""
+    made = [(i, f"osa-miR{i}", 'A<B> & "C"\n漢字 🌾 \x01' if i == 3 else None if i == 4 else f" s{i} ", i / 4, i % 2 == 0, ("green", "none", "blue")[i % 3]) for i in range(50, 0, -1)]
+    detail = spark.createDataFrame(made, "`#` long, miRNA string, `Source Sentence` string, share double, kept boolean, style string").repartition(3)
+    reviewed = detail.drop("style").withColumn("LLM Review Result", F.lit("Confirmed (x)"))
+    stats = spark.createDataFrame([("Total", 3)], "label string, value long")
+    path = str(tmp_path / "out" / "final.xlsx")
+    workbooks.write_workbook({"Detail": detail, "Reviewed & more": reviewed, "Statistics": stats, "Empty": stats.limit(0)}, path, {"Detail": ("#",), "Reviewed & more": ("#",)})
+    read = lambda sheet: spark.read.format("xlsx").option("sheet", sheet).load(path)
+    found = read("Detail")
+    assert found.columns == ["#", "miRNA", "Source Sentence", "share", "kept"]
+    want = [(str(i), m, s.replace("\x01", " ") if s else None, str(x), "true" if k else "false") for i, m, s, x, k, _ in sorted(made)]
+    assert [tuple(r) for r in found.collect()] == want
+    assert "LLM Review Result" in read("Reviewed & more").columns and read("Statistics").collect() == [("Total", "3")]
+    assert read("Empty").columns == ["label", "value"] and read("Empty").count() == 0 and spark.read.format("xlsx").load(path).count() == 50
+    with zipfile.ZipFile(path) as book:
+        sheet = book.read("xl/worksheets/sheet1.xml").decode()
+    assert re.findall(r'<row r="\d+"><c r="A\d+" s="(\d)"', sheet)[:4] == ["1", "0", "6", "2"]  # header, none, blue, green
+    pairs_read = abstracts.read_pairs(spark, path, "xlsx")
+    assert pairs_read.columns[:3] == ["idx", "mirna", "sentence"] and pairs_read.count() == 50
+
+
+def test_workbook_of_another_hand(spark, tmp_path):
+    """Shared strings, gaps between cells, a formula's error, rows without cells, columns in another order in a second file."""
+    main, rel = workbooks.MAIN, workbooks.RELATIONS
+    for n, cells in enumerate((("a", "b"), ("b", "a"))):
+        with zipfile.ZipFile(tmp_path / f"{n}.xlsx", "w") as book:
+            book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="S" sheetId="1" r:id="x"/></sheets></workbook>')
+            book.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="p"><Relationship Id="x" Target="/xl/worksheets/one.xml"/></Relationships>')
+            book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>{cells[0]}</t></si><si><r><t>{cells[1]}</t></r></si><si><r><t>two </t></r><r><t>runs</t></r></si></sst>')
+            book.writestr(
+                "xl/worksheets/one.xml",
+                f'<worksheet xmlns="{main}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row><row r="2"/>'
+                f'<row r="3"><c r="C3" t="s"><v>2</v></c></row><row r="4"><c r="A4"><v>1.5</v></c><c r="B4" t="b"><v>1</v></c><c r="C4" t="e"><v>#N/A</v></c></row></sheetData></worksheet>',
+            )
+    workbooks.register(spark)
+    found = spark.read.format("xlsx").load(str(tmp_path))
+    assert found.columns == ["a", "_c1", "b"] and sorted(map(tuple, found.collect()), key=str) == sorted([(None, None, "two runs"), ("1.5", "true", None), ("two runs", None, None), (None, "true", "1.5")], key=str)
+    with pytest.raises(Exception, match="nothing.xlsx"):
+        spark.read.format("xlsx").load(str(tmp_path / "nothing.xlsx")).count()
+
+
+def test_workbook_limits(spark, tmp_path, monkeypatch):
+    assert [workbooks.column_name(i) for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"] and all(workbooks.column_number(f"{workbooks.column_name(i)}9") == i for i in range(800))
+    with pytest.raises(Exception, match="characters"):
+        workbooks.write_workbook({"S": spark.range(1).select(F.repeat(F.lit("x"), 40_000).alias("a"))}, str(tmp_path / "long.xlsx"))
+    assert not list(tmp_path.iterdir())
