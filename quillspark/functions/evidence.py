@@ -18,6 +18,11 @@ def first_seen(rows: DataFrame, keys: Sequence[str], order: Column, **values: Co
     return told.groupBy(*keys, "kind", "value").agg(F.min("_order").alias("first"), F.count(F.lit(1)).alias("n"))
 
 
+def combined(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One first_seen table from those of several parts of the input."""
+    return parts.groupBy(*keys, "kind", "value").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+
+
 def in_order(kind: str) -> Column:
     """Aggregate over first_seen: the values of a kind by their first order."""
     return F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("first", "value")))), lambda x: x["value"])

@@ -66,19 +66,30 @@ def display_name(norm: Column, variants: Column) -> Column:
     return F.when(F.size(others) > 0, F.concat(norm, F.lit(" ("), F.array_join(others, ", "), F.lit(")"))).otherwise(norm)
 
 
+GROUP = ("species", "mirna_norm", "gene_norm")
+
+
+def group_evidence(pairs: DataFrame, order: str = "idx") -> DataFrame:
+    """The distinct values of each group (first_seen): what parts of the input know of a group adds up (combined) to what all of it knows."""
+    told = lambda c: F.nullif(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(""))
+    evidence = {kind: told(c) for kind, c in (("sentences", "sentence"), ("titles", "title"), ("pmids", "pmid"), ("dois", "doi"), ("relation", "relation_type"))}
+    return first_seen(pairs, GROUP, F.col(order), ms=F.col("mirna"), gs=F.col("gene"), **evidence)
+
+
 def merge_pairs(pairs: DataFrame, order: str = "idx") -> DataFrame:
     """One row for each species, normal miRNA and gene: merged evidence in input order, number of PMIDs, modal relation, display names.
 
     The distinct values of a group are found first, each with its first order and its rows; only these meet in one row, which has to hold them anyway.
     """
-    keys = ("species", "mirna_norm", "gene_norm")
-    told = lambda c: F.nullif(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(""))
-    evidence = {kind: told(c) for kind, c in (("sentences", "sentence"), ("titles", "title"), ("pmids", "pmid"), ("dois", "doi"), ("relation", "relation_type"))}
-    seen = first_seen(pairs, keys, F.col(order), ms=F.col("mirna"), gs=F.col("gene"), **evidence)
+    return merged_groups(group_evidence(pairs, order))
+
+
+def merged_groups(seen: DataFrame) -> DataFrame:
+    """The merged rows of groups from their evidence."""
     most = F.min(F.when(F.col("kind") == "relation", F.struct((-F.col("n")).alias("less"), "value")))["value"]
-    merged = seen.groupBy(*keys).agg(most.alias("relation"), *[in_order(kind).alias(kind) for kind in ("ms", "gs", "sentences", "titles", "pmids", "dois")])
+    merged = seen.groupBy(*GROUP).agg(most.alias("relation"), *[in_order(kind).alias(kind) for kind in ("ms", "gs", "sentences", "titles", "pmids", "dois")])
     return merged.select(
-        *keys, display_name(F.col("mirna_norm"), F.col("ms")).alias("mirna"), display_name(F.col("gene_norm"), F.col("gs")).alias("gene"),
+        *GROUP, display_name(F.col("mirna_norm"), F.col("ms")).alias("mirna"), display_name(F.col("gene_norm"), F.col("gs")).alias("gene"),
         F.size("pmids").alias("pmid_count"), F.coalesce("relation", F.lit("")).alias("relation_type"),
         F.array_join("sentences", " | ").alias("sentences"), F.array_join("titles", " | ").alias("titles"),
         F.array_join("pmids", ", ").alias("pmids"), F.array_join("dois", ", ").alias("dois"),

@@ -313,3 +313,14 @@ def pair_stats(pairs: DataFrame) -> DataFrame:
     return pairs.agg(
         F.count(F.lit(1)).alias("pairs"), F.countDistinct(F.nullif("pmid", F.lit(""))).alias("pmids"), F.countDistinct("mirna").alias("mirnas"), F.countDistinct("gene").alias("genes")
     )
+
+
+def part_stats(pairs: DataFrame, *parts: str) -> DataFrame:
+    """parts, pairs, and sketches of the distinct PMIDs, miRNAs and genes: counts of parts of the input that add up."""
+    sketched = {name: F.hll_sketch_agg(F.nullif(F.col(c), F.lit(""))).alias(name) for name, c in (("pmids", "pmid"), ("mirnas", "mirna"), ("genes", "gene"))}
+    return pairs.groupBy(*parts).agg(F.count(F.lit(1)).alias("pairs"), *sketched.values())
+
+
+def summed_stats(parts: DataFrame, *by: str) -> DataFrame:
+    """pairs, pmids, mirnas, genes over parts: pairs are exact; the others are estimates, with a standard error of 1.6 % (2**12 registers)."""
+    return parts.groupBy(*by).agg(F.sum("pairs").alias("pairs"), *[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in ("pmids", "mirnas", "genes")])

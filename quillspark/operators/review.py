@@ -107,7 +107,7 @@ def merge_verdicts(pairs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def review_stats(reviewed: DataFrame) -> DataFrame:
     """Counts by kind of status, of retained and of excluded pairs."""
-    kind = F.regexp_replace("review_result", r"\AConfirmed.*\z", "Confirmed")
+    kind = status_kind(F.col("review_result"))
     n = lambda *ks: F.count_if(kind.isin(*ks))
     return reviewed.agg(
         n("Confirmed").alias("confirmed"), n("Weak association").alias("weak"), n("Excluded (non-target)").alias("non_target"), n("Excluded (non-gene)").alias("non_gene"),
@@ -115,6 +115,25 @@ def review_stats(reviewed: DataFrame) -> DataFrame:
     )
 
 
+def status_kind(status: Column) -> Column:
+    """A status without what is confirmed."""
+    return F.regexp_replace(status, r"\AConfirmed.*\z", "Confirmed")
+
+
+def status_levels(reviewed: DataFrame) -> DataFrame:
+    """level (species, relation, status, total), value, pairs, confirmed, pmids: counts at every level by grouping sets, in one pass."""
+    rows = reviewed.select("species", F.col("relation_type").alias("relation"), status_kind(F.col("review_result")).alias("status"), F.nullif("pmid", F.lit("")).alias("pmid"))
+    levels = ("species", "relation", "status")
+    level, value = F.lit("total"), F.lit("")
+    for c in levels:
+        level, value = F.when(F.grouping(c) == 0, c).otherwise(level), F.when(F.grouping(c) == 0, F.coalesce(c, F.lit(""))).otherwise(value)
+    confirmed = F.col("status") == "Confirmed"
+    marked = rows.withColumn("sure", confirmed.cast("int"))
+    return marked.groupingSets([["species"], ["relation"], ["status"], []], *levels).agg(
+        level.alias("level"), value.alias("value"), F.count(F.lit(1)).alias("pairs"), F.coalesce(F.sum("sure"), F.lit(0)).alias("confirmed"), F.countDistinct("pmid").alias("pmids")
+    ).select("level", "value", "pairs", "confirmed", "pmids")
+
+
 def row_style(status: Column) -> Column:
     """The colour of a reviewed row."""
     return F.when(status.startswith("Confirmed"), "green").when(status.startswith("Excluded"), "red").otherwise("yellow")

@@ -376,6 +376,14 @@ def review_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.review_stats(reviewed(spark, sf_dir))
 
 
+@query("""SELECT CASE WHEN grouping(species) = 0 THEN 'species' WHEN grouping(relation_type) = 0 THEN 'relation' WHEN grouping(status) = 0 THEN 'status' ELSE 'total' END AS level,
+    CASE WHEN grouping(species) = 0 THEN species WHEN grouping(relation_type) = 0 THEN relation_type WHEN grouping(status) = 0 THEN status ELSE '' END AS value,
+    count(*) AS pairs, count(*) FILTER (WHERE status = 'Confirmed') AS confirmed, count(DISTINCT nullif(pmid, '')) AS pmids
+    FROM (SELECT *, CASE WHEN review_result LIKE 'Confirmed%' THEN 'Confirmed' ELSE review_result END AS status FROM reviewed) GROUP BY GROUPING SETS ((species), (relation_type), (status), ())""")
+def status_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.status_levels(reviewed(spark, sf_dir))
+
+
 # --- normalisation
 
 

@@ -16,6 +16,7 @@ from quillspark.functions.evidence import first_seen
 from quillspark.operators import feedback, geneids, mentions, normalize, pairs, records, review, sentences
 from quillspark.plans import workflow
 from quillspark.sources import abstracts, adapters, splits, workbooks
+from quillspark.streaming import ingest
 
 # --- record reader
 
@@ -384,3 +385,41 @@ def test_workbook_limits(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="characters"):
         workbooks.write_workbook({"S": spark.range(1).select(F.repeat(F.lit("x"), 40_000).alias("a"))}, str(tmp_path / "long.xlsx"))
     assert not list(tmp_path.iterdir())
+
+
+# --- figures that add up
+
+
+def reviewed_rows(spark, n):
+    i = F.col("id")
+    return spark.range(1, n + 1).select(
+        i.alias("idx"), F.when(i % 3 == 0, "rice").otherwise("wheat").alias("species"), F.concat(F.lit("miR"), i % 40).alias("mirna"), F.concat(F.lit("SPL"), i % 60).alias("gene"),
+        F.concat(F.lit("p"), i % 1500).alias("pmid"), F.when(i % 4 == 0, "cleavage").otherwise("targeting").alias("relation_type"), F.concat(F.lit("s"), i % 9).alias("sentence"),
+        F.lit("t").alias("title"), F.lit("").alias("doi"), F.lit("Confirmed").alias("confidence"), F.when(i % 5 == 0, "Weak association").otherwise("Confirmed (x)").alias("review_result"), F.lit("").alias("manual_keep"),
+    )
+
+
+def test_stream_of_pairs_equals_batch(spark, tmp_path):
+    """Three batches and one of them again: the groups are those of all pairs at once; a batch that is run again replaces itself."""
+    found, out = reviewed_rows(spark, 600), str(tmp_path / "kept")
+    for n, part in enumerate((found.filter("idx <= 200"), found.filter("idx > 150 AND idx <= 400"), found.filter("idx <= 200"), found.filter("idx > 400"))):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        ingest.start_merging(spark.readStream.schema(found.schema).parquet(str(tmp_path / "in")), out, str(tmp_path / "state")).awaitTermination(120)
+        assert len(list((tmp_path / "kept" / "evidence").glob("batch=*"))) == n + 1
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    want = rows(normalize.merge_pairs(normalize.normalized(normalize.kept_pairs(found))))
+    assert rows(ingest.current_groups(spark, out)) == want and len(want) > 50
+    ingest.merge_batch(found.filter("idx > 400"), 3, out)
+    assert rows(ingest.current_groups(spark, out)) == want
+
+
+def test_part_statistics_add_up(spark):
+    found = reviewed_rows(spark, 6000)
+    exact = pairs.pair_stats(found).first()
+    parts = pairs.part_stats(found.withColumn("part", F.col("idx") % 7), "part")
+    told = pairs.summed_stats(parts).first()
+    assert parts.count() == 7 and told.pairs == exact.pairs == 6000
+    for c in ("pmids", "mirnas", "genes"):
+        assert abs(told[c] - exact[c]) <= 0.05 * exact[c]
+    levels = {(r.level, r.value): (r.pairs, r.confirmed, r.pmids) for r in review.status_levels(found).collect()}
+    assert levels["total", ""] == (6000, 4800, 1500) and levels["status", "Weak association"][:2] == (1200, 0) and levels["species", "rice"][0] == 2000 and len(levels) == 7
