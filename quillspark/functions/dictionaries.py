@@ -8,28 +8,31 @@ from pyspark.sql import DataFrame
 
 # Names that are not genes (case-sensitive).
 BLACKLIST = (
-    "PCR qPCR RT-PCR RT-qPCR qRT-PCR RNA-seq scRNA-seq ChIP ChIP-seq CLIP CLIP-seq RIP RIP-seq RNAi CRISPR Cas9 TALEN ZFN "
-    "GFP GUS LUC RFP YFP CFP mCherry GST MBP His FLAG HA Myc T7 35S CaMV35S Ubi Actin NOS WT OE amiRNA MIM STTM Ctrl Control "
-    "cDNA mRNA tRNA rRNA siRNA sRNA snRNA snoRNA ncRNA lncRNA circRNA pri-miRNA pre-miRNA dsRNA ssRNA ssDNA dsDNA "
-    "ABA GA GA3 IAA JA SA BR ET ETH MeJA ACC SL GR24 ROS H2O2 NO NO3 NH4 Pi ATP GTP ADP GDP NADPH NADH Ca2 Ca2+ K+ Na+ Cl- "
-    "SD SEM ANOVA LSD FDR NCBI BLAST GO KEGG COG Pfam RAP MSU TAIR Ensembl SRA GEO DEG DEGs FPKM RPKM TPM CPM "
-    "Chr1 Chr2 Chr3 Chr4 Chr5 Chr6 Chr7 Chr8 Chr9 Chr10 Chr11 Chr12 DNA RNA ORF UTR CDS SNP QTL SSR CTAB EDTA SDS PAGE TEMED APS "
-    "LIKE NS3 NS4 NS2 NS1 IR64 IR36 IR8 IR72 IR24 IR29 ZH11 ZH17 PB1 TN1 RP2068 N22 PKL AG1 LDLRAP1 "
-    "AC4 BMY CELL CR1 CR2 Cu2 DEAD DOB1 DP GT Guy11 HT14 HT54 Hap1 Hap2 Hap3 IMR90 LYP9 NB NF OMTN OXMFAP1 Osaba1 Osmtd1 PR "
-    "Pho81 RSV RT SK12 SO4 SYG1 WEB XPR1 Ziyu44 AUXIN BPH DOMAIN2 DR EF FACTOR1 III IR56 IRBB5 PSI PTI PXO86 PXO99 RBSDV TRANS "
-    "UCL WRKY IIB"
-).split()
+    "PCR", "qPCR", "RT-PCR", "RT-qPCR", "qRT-PCR", "RNA-seq", "scRNA-seq", "ChIP", "ChIP-seq", "CLIP", "CLIP-seq", "RIP", "RIP-seq", "RNAi", "CRISPR",
+    "Cas9", "TALEN", "ZFN", "GFP", "GUS", "LUC", "RFP", "YFP", "CFP", "mCherry", "GST", "MBP", "His", "FLAG", "HA", "Myc", "T7", "35S", "CaMV35S", "Ubi",
+    "Actin", "NOS", "WT", "OE", "amiRNA", "MIM", "STTM", "Ctrl", "Control", "cDNA", "mRNA", "tRNA", "rRNA", "siRNA", "sRNA", "snRNA", "snoRNA", "ncRNA",
+    "lncRNA", "circRNA", "pri-miRNA", "pre-miRNA", "dsRNA", "ssRNA", "ssDNA", "dsDNA", "ABA", "GA", "GA3", "IAA", "JA", "SA", "BR", "ET", "ETH", "MeJA",
+    "ACC", "SL", "GR24", "ROS", "H2O2", "NO", "NO3", "NH4", "Pi", "ATP", "GTP", "ADP", "GDP", "NADPH", "NADH", "Ca2", "Ca2+", "K+", "Na+", "Cl-", "SD",
+    "SEM", "ANOVA", "LSD", "FDR", "NCBI", "BLAST", "GO", "KEGG", "COG", "Pfam", "RAP", "MSU", "TAIR", "Ensembl", "SRA", "GEO", "DEG", "DEGs", "FPKM", "RPKM",
+    "TPM", "CPM", "Chr1", "Chr2", "Chr3", "Chr4", "Chr5", "Chr6", "Chr7", "Chr8", "Chr9", "Chr10", "Chr11", "Chr12", "DNA", "RNA", "ORF", "UTR", "CDS",
+    "SNP", "QTL", "SSR", "CTAB", "EDTA", "SDS", "PAGE", "TEMED", "APS", "LIKE", "NS3", "NS4", "NS2", "NS1", "IR64", "IR36", "IR8", "IR72", "IR24", "IR29",
+    "ZH11", "ZH17", "PB1", "TN1", "RP2068", "N22", "PKL", "AG1", "LDLRAP1", "AC4", "BMY", "CELL", "CR1", "CR2", "Cu2", "DEAD", "DOB1", "DP", "GT", "Guy11",
+    "HT14", "HT54", "Hap1", "Hap2", "Hap3", "IMR90", "LYP9", "NB", "NF", "OMTN", "OXMFAP1", "Osaba1", "Osmtd1", "PR", "Pho81", "RSV", "RT", "SK12", "SO4",
+    "SYG1", "WEB", "XPR1", "Ziyu44", "AUXIN", "BPH", "DOMAIN2", "DR", "EF", "FACTOR1", "III", "IR56", "IRBB5", "PSI", "PTI", "PXO86", "PXO99", "RBSDV",
+    "TRANS", "UCL", "WRKY", "IIB",
+)
 
 # Known plant genes and gene families.
 WHITELIST = (
-    "AGO1 AGO2 AGO4 AGO5 AGO6 AGO7 AGO10 AGO17 AGO18 DCL1 DCL2 DCL3 DCL4 RDR1 RDR2 RDR6 "
-    "SPL2 SPL3 SPL4 SPL5 SPL6 SPL7 SPL8 SPL9 SPL10 SPL11 SPL12 SPL13 SPL14 SPL15 SPL16 SPL17 SPL18 AP2 "
-    "GRF1 GRF2 GRF3 GRF4 GRF5 GRF6 GRF7 GRF8 GRF9 GRF10 NAC1 NAC2 NAC3 NAC4 NAC5 NAC6 NAC MYB2 MYB3 MYB4 MYB5 MYB6 MYB "
-    "WRKY45 WRKY55 WRKY71 WRKY TCP21 TCP PHO2 CSD1 CSD2 CSD3 CSD4 TAS3 IPA1 HD3 HD5 HYL1 SE DCL AGO RDR SPL ARF FTL MFS1 MFS2 "
-    "RFT1 TB1 SLR1 MPK3 MPK6 SNB IDS1 GAMYB GmPT5 OsAFB2 OsARF10 OsGAMYBL2 OsGRF4 OsPHO2 OsRPC53 OsSOD2 OsTCP21 OsTIR1 "
-    "AGL16 ARF8 CIPK10 EIN2 LOC_Os08g16914 LOC_Os08g42700.1 Os06g0708700 OsARF18 OsCUC1 OsCaML2 OsDCL1 OsDRM2 OsGH3 OsGRF8 "
-    "OsHAM1 OsHAM2 OsHAM3 OsHAM4 OsMADS57 OsMYB2 OsSPL14 OsSPL17 OsSPL2 OsSPL7 OsUCL17 TIR1"
-).split()
+    "AGO1", "AGO2", "AGO4", "AGO5", "AGO6", "AGO7", "AGO10", "AGO17", "AGO18", "DCL1", "DCL2", "DCL3", "DCL4", "RDR1", "RDR2", "RDR6", "SPL2", "SPL3",
+    "SPL4", "SPL5", "SPL6", "SPL7", "SPL8", "SPL9", "SPL10", "SPL11", "SPL12", "SPL13", "SPL14", "SPL15", "SPL16", "SPL17", "SPL18", "AP2", "GRF1", "GRF2",
+    "GRF3", "GRF4", "GRF5", "GRF6", "GRF7", "GRF8", "GRF9", "GRF10", "NAC1", "NAC2", "NAC3", "NAC4", "NAC5", "NAC6", "NAC", "MYB2", "MYB3", "MYB4", "MYB5",
+    "MYB6", "MYB", "WRKY45", "WRKY55", "WRKY71", "WRKY", "TCP21", "TCP", "PHO2", "CSD1", "CSD2", "CSD3", "CSD4", "TAS3", "IPA1", "HD3", "HD5", "HYL1", "SE",
+    "DCL", "AGO", "RDR", "SPL", "ARF", "FTL", "MFS1", "MFS2", "RFT1", "TB1", "SLR1", "MPK3", "MPK6", "SNB", "IDS1", "GAMYB", "GmPT5", "OsAFB2", "OsARF10",
+    "OsGAMYBL2", "OsGRF4", "OsPHO2", "OsRPC53", "OsSOD2", "OsTCP21", "OsTIR1", "AGL16", "ARF8", "CIPK10", "EIN2", "LOC_Os08g16914", "LOC_Os08g42700.1",
+    "Os06g0708700", "OsARF18", "OsCUC1", "OsCaML2", "OsDCL1", "OsDRM2", "OsGH3", "OsGRF8", "OsHAM1", "OsHAM2", "OsHAM3", "OsHAM4", "OsMADS57", "OsMYB2",
+    "OsSPL14", "OsSPL17", "OsSPL2", "OsSPL7", "OsUCL17", "TIR1",
+)
 
 # Words near a candidate that speak for a gene (as substrings of lower-case text).
 CONTEXT_SIGNALS = (
@@ -90,9 +93,10 @@ SPECIES_KEYWORDS = (
 
 # Abbreviations that end no sentence.
 ABBREVIATIONS = (
-    "al fig figs eq eqs eqn ref refs vol vols vs etc et spp sp var vars eds approx dept dr mr mrs ms prof inc ltd co corp no nos "
-    "jan feb mar apr jun jul aug sep oct nov dec cv cvs cf viz"
-).split()
+    "al", "fig", "figs", "eq", "eqs", "eqn", "ref", "refs", "vol", "vols", "vs", "etc", "et", "spp", "sp", "var", "vars", "eds", "approx", "dept", "dr",
+    "mr", "mrs", "ms", "prof", "inc", "ltd", "co", "corp", "no", "nos", "jan", "feb", "mar", "apr", "jun", "jul", "aug", "sep", "oct", "nov", "dec", "cv",
+    "cvs", "cf", "viz",
+)
 
 # Scientific names for gene lookups.
 ORGANISMS = {
@@ -118,8 +122,8 @@ UNREVIEWED_NOTE = "Not reviewed by LLM (confidence value not recognized)"
 class Dictionaries:
     """The lists that feedback extends, as literals."""
 
-    blacklist: tuple[str, ...] = field(default=tuple(BLACKLIST))
-    whitelist: tuple[str, ...] = field(default=tuple(WHITELIST))
+    blacklist: tuple[str, ...] = field(default=BLACKLIST)
+    whitelist: tuple[str, ...] = field(default=WHITELIST)
 
 
 @dataclass(frozen=True)
