@@ -647,6 +647,28 @@ def test_many_copies_are_packed_in_several_groups(spark, monkeypatch):
     assert Counter(i for r in out for i in r.doc_ids) == Counter([1] * 200 + list(range(2, 60))) and len({r.grp for r in out if 1 in r.doc_ids}) > 5
 
 
+def test_packing_flushes_full_windows(spark, monkeypatch):
+    """A group of more ids than a window is packed window by window, each as if it stood alone, and nothing is lost."""
+    monkeypatch.setattr(packing, "WINDOW_TOKENS", 300)
+    docs = spark.createDataFrame([(i, " ".join(f"word{j}" for j in range(i % 40))) for i in range(90)], "doc_id long, text string")
+    out = packing.packed_rows(docs, RANKS, size=64).collect()
+    windows, pieces = defaultdict(list), defaultdict(list)
+    for r in sorted(out, key=lambda r: (r.grp, r.window, r.row)):
+        windows[r.grp, r.window].append(r)
+        ids, ends = np.frombuffer(r.ids, "<u4"), r.cu_seqlens
+        for a, b, i, k in zip(ends, ends[1:], r.doc_ids, r.pieces, strict=False):
+            pieces[i].append((k, (r.grp, r.window), ids[a:b]))
+    assert len(windows) > 5 and {w for _, w in windows} == set(range(len(windows))) and all([r.row for r in rs] == list(range(len(rs))) for rs in windows.values())
+    whole = {i: np.concatenate([p for *_, p in sorted(ps, key=lambda x: x[0])]) for i, ps in pieces.items()}
+    coder = bpe.coder_of(open(VOCABULARY, "rb").read())
+    assert all(coder.decode(whole[r.doc_id][:-1]) == r.text for r in docs.collect()) and all(len({w for _, w, _ in ps}) == 1 for ps in pieces.values())
+    for key, rs in windows.items():
+        own = [(i, whole[i]) for i, ps in pieces.items() if ps[0][1] == key]
+        assert sum(len(x) for _, x in own) < 300 + max(len(x) for _, x in own)
+        want = list(packing.pack_matrix(sorted(own, key=lambda x: min((r.row, r.doc_ids.index(x[0])) for r in rs if x[0] in r.doc_ids)), 64, 50256))
+        assert len(want) == len(rs)
+
+
 # --- 7 sharding
 
 
