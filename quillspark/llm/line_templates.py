@@ -11,7 +11,8 @@ A template that recurs in ``min_docs`` documents or more is dropped everywhere b
 document with the least id, so that every passage survives once. Lines of fewer than
 ``min_tokens`` tokens are never dropped.
 
-Hashes that name lines and templates have 128 bits, so unlike ones are never taken for each other.
+Hashes that name lines and templates have 128 bits over hashes of 64 for each field: lines that differ in one
+field alone are told apart by 64 bits.
 
 Lines are separated by line feeds. Null and empty texts have no lines and stay as they are.
 Repeated rows (equal id and text) count as one document and are treated alike; a null id orders
@@ -69,7 +70,7 @@ def row_key(id_col: str, text_col: str) -> Column:
 def parsed_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
     """One narrow row for each line of min_tokens tokens or more: doc_id, row, pos, leaf, line, check, fields.
 
-    Within a leaf two hashes of all fields name a line, 128 bits together.
+    Within a leaf two hashes of all fields' hashes name a line, 128 bits together.
     """
 
     def parsed(tokens: Column, pos: Column) -> Column:
