@@ -18,7 +18,7 @@ WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u
 MENTION = "array<struct<name:string,start:int,end:int>>"
 
 
-_built: dict[tuple, object] = {}
+_built: dict[tuple, tuple] = {}
 
 
 def built_once(make: Callable) -> Callable:
@@ -26,10 +26,10 @@ def built_once(make: Callable) -> Callable:
 
     @wraps(make)
     def get(*key: Hashable):
-        place = (make.__module__, make.__qualname__, id(SparkContext._gateway), key)
-        if place not in _built:
-            _built[place] = make(*key)
-        return _built[place]
+        place, jvm = (make.__module__, make.__qualname__, key), SparkContext._gateway
+        if place not in _built or _built[place][0] is not jvm:
+            _built[place] = jvm, make(*key)
+        return _built[place][1]
 
     return get
 
