@@ -461,6 +461,62 @@ def test_near_copies_compare_by_key(spark):
     assert near_copies.without_near_copies(frame).count() == len(texts)
 
 
+def brute_bunches(places, prints):
+    """Sets of places connected by few different bits."""
+    left, found = set(places), []
+    while left:
+        bunch, todo = set(), [left.pop()]
+        while todo:
+            at = todo.pop()
+            bunch.add(at)
+            near = {i for i in left if int(np.bitwise_count(prints[at] ^ prints[i]).sum()) <= near_copies.MOST_BITS}
+            left -= near
+            todo += near
+        found.append(frozenset(bunch))
+    return {b for b in found if len(b) > 1}
+
+
+def test_near_copies_simhash_index_and_tally(spark, monkeypatch):
+    """Fingerprints are SimHashes, they meet by positional bytes, and shared bytes are tallied before sets are compared."""
+    rng, texts = random.Random(8), []
+    for family in range(25):
+        words = [f"w{rng.randrange(1 << 30)}" for _ in range(104)]
+        texts.append(" ".join(words))
+        for _ in range(70 if not family else 2):  # a set of 100 with 2 words in its middle changed: 90 of 110, or less if those are far apart
+            copy = list(words)
+            at = rng.randrange(5, 90)
+            copy[at] = copy[at + rng.randrange(1, 8)] = f"x{rng.randrange(1 << 30)}"
+            texts.append(" ".join(copy))
+    found = [near_copies.shingle_set(t.encode()) for t in texts]
+    frame = spark.createDataFrame(rows(*texts), SCHEMA)
+    prints = {r.doc_id: np.array(r.bands, dtype=np.int64) for r in near_copies.with_sets(frame).collect()}
+    for i in (0, 3, 80):
+        hashes = near_copies.mixed(found[i]).tolist()
+        assert prints[i].view(np.uint64).tolist() == [sum((2 * sum(h >> b & 1 for h in row) > len(row)) << b for b in range(64)) for row in hashes]
+    want = set()
+    for k in range(near_copies.KEYS):
+        lists = {}
+        for i, p in prints.items():
+            lists.setdefault(int(p.view(np.uint16)[k]), []).append(i)
+        want |= {(k, b) for members in lists.values() for b in brute_bunches(members, {i: prints[i][:2].view(np.uint64) for i in members})}
+    sets = near_copies.with_sets(frame).select(F.col("doc_id").alias("set"), "bands")
+    got = {(r.k, frozenset(r.members)) for r in near_copies.key_lists(sets).groupBy("k", "band").agg(F.collect_list("set").alias("members")).collect()}
+    assert got == want and max(len(b) for _, b in got) > near_copies.SHORT
+    near = [(a, b) for a, b in combinations(range(len(texts)), 2) if len(both := set(found[a].tolist()) & set(found[b].tolist())) * 9 >= 4 * (len(found[a]) + len(found[b])) and both]
+    met = {p for _, b in got for p in combinations(sorted(b), 2)}
+    assert len(near) > 40 and set(near) <= met and all(near_copies.shared_bytes(prints[a], prints[b]) >= near_copies.LEAST_SHARED for a, b in near)
+    a, b = near[0]
+    k = int((prints[a].view(np.uint16) == prints[b].view(np.uint16)).argmax())
+    links = lambda two: near_copies.cross_links(k, np.array([a, b]), np.array([a, b]), np.array([0, 0]), [found[a], found[b]], two, 0.8)
+    other = ~prints[a]
+    other[k // 4] = prints[a][k // 4]  # shares one word of bytes, fewer than the tally asks for
+    assert links(np.array([prints[a], prints[b]])) == [(b, a)] and links(np.array([prints[a], other])) == []
+    kept = {r.doc_id for r in near_copies.without_near_copies(frame).collect()}
+    monkeypatch.setattr(common, "UNIT", 5)  # the lists of the large family are dealt into blocks
+    monkeypatch.setattr(near_copies, "PROBE", 1)
+    assert {r.doc_id for r in near_copies.without_near_copies(frame).collect()} == kept
+
+
 def test_equal_id_and_text_keep_one_row_for_good(spark):
     made = [(1, "a b c d e f", "en"), (1, "a b c d e f", "fr"), (2, "other words here", None)]
     found = {tuple(near_copies.without_near_copies(spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(2)).orderBy("doc_id").collect()) for order in (made, made[::-1])}
